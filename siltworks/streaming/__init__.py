@@ -1,0 +1,5 @@
+"""No streaming operators: every input of this library is a finished table.
+
+The one incremental step, resuming an interrupted labeling run, is a batch anti join
+(`siltworks.operators.annotate.resume_labeling`).
+"""
