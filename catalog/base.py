@@ -115,8 +115,15 @@ def with_views(sql: str, names: list[str], spark: bool = False) -> str:
     return _dialect(sql, spark)
 
 
+_handles: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One reader per table and session, so footers are read once."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _handles:
+        _handles[key] = spark.read.parquet(f"{sf}/{name}.parquet")
+    return _handles[key]
 
 
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:

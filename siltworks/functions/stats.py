@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.scratch import materialize
 from siltworks.functions.text import fingerprint, is_blank
 
 
@@ -25,11 +26,11 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part * F.lit(100.0), whole.cast("double")), digits)
 
 
-def text_groups(df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
+def text_groups(df: DataFrame, text: str = "text", id: str = "id", by: tuple[str, ...] = ()) -> DataFrame:
     """One narrow row per distinct text: first id, length, blank flag, copies.
 
     NULL texts form one group.  Copies of a hot text collapse before the shuffle and
-    the text itself never leaves its scan task.
+    the text itself never leaves its scan task.  ``by`` adds further grouping columns.
     """
     t = F.col(text)
     return (
@@ -38,8 +39,9 @@ def text_groups(df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
             F.col(id).alias("_id") if id in df.columns else F.lit(None).cast("long").alias("_id"),
             F.length(t).cast("long").alias("len"),
             is_blank(t).alias("blank"),
+            *by,
         )
-        .groupBy("fp")
+        .groupBy("fp", *by)
         .agg(
             F.min("_id").alias("first_id"),
             F.max("len").alias("len"),
@@ -49,6 +51,16 @@ def text_groups(df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
     )
 
 
+def stored_groups(df: DataFrame, text: str = "text", id: str = "id", by: tuple[str, ...] = ()) -> DataFrame:
+    """``text_groups`` written once to shared storage.
+
+    Several figures are always derived from the groups.  Each would prune other columns,
+    which defeats exchange reuse, so storing this narrow table is what keeps the text
+    at a single scan.
+    """
+    return materialize(text_groups(df, text, id, by), "text-groups")
+
+
 def length_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """(len, n): at most one row per distinct text length."""
     return (
@@ -71,20 +83,28 @@ def length_profile(counts: DataFrame) -> DataFrame:
     """One row of length statistics with linear-interpolated exact quantiles.
 
     The quantile state holds one counter per distinct length and is fed by rows that
-    are already grouped by length.
+    are already grouped by length.  Power sums are exact integers, centred on the whole
+    part of the mean before the division, so the deviation needs no second pass and is
+    exactly zero for equal lengths.
     """
-    base = counts.agg(
+    n, length = F.col("n").cast("decimal(20,0)"), F.col("len").cast("decimal(18,0)")
+    sums = counts.agg(
         F.sum("n").alias("total"),
-        F.try_divide(F.sum(F.col("len") * F.col("n")).cast("double"), F.sum("n").cast("double")).alias("mean"),
+        F.sum((n * length).cast("decimal(38,0)")).alias("s1"),
+        F.sum((n * length * length).cast("decimal(38,0)")).alias("s2"),
         F.percentile(F.col("len"), F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75, 0.95)]), F.col("n")).alias("q"),
     )
-    mean = base.select("mean").scalar()
-    squares = counts.agg(F.sum(F.col("n") * F.pow(F.col("len") - mean, 2))).scalar()
+    total = F.col("total").cast("double")
+    centred = sums.withColumn("c", F.floor(F.try_divide(F.col("s1").cast("double"), total)).cast("decimal(18,0)"))
+    rows = F.col("total").cast("decimal(20,0)")
+    d1 = (F.col("s1") - (F.col("c") * rows).cast("decimal(38,0)")).cast("double")
+    cross = (F.col("c") * F.lit(2) * F.col("s1")).cast("decimal(38,0)")
+    d2 = (F.col("s2") - cross + (F.col("c") * F.col("c") * rows).cast("decimal(38,0)")).cast("double")
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(2))
-    return base.select(
+    return centred.select(
         "total",
-        "mean",
-        F.sqrt(F.try_divide(squares, (F.col("total") - 1).cast("double"))).alias("std"),
+        F.try_divide(F.col("s1").cast("double"), total).alias("mean"),
+        F.sqrt(F.greatest(F.lit(0.0), F.try_divide(d2 - d1 * F.try_divide(d1, total), total - 1))).alias("std"),
         q1.alias("q1"),
         F.get("q", F.lit(1)).alias("median"),
         q3.alias("q3"),

@@ -19,6 +19,7 @@ from siltworks.functions.stats import (
     outside_z,
     percent,
     regroup_lengths,
+    stored_groups,
     text_groups,
 )
 from siltworks.functions.text import is_blank
@@ -144,7 +145,7 @@ def audit(df: DataFrame, text: str = "text") -> DataFrame:
     The text column is scanned once (for the groups), the other columns once (for the
     label rows), and all figures are summed from those two small results.
     """
-    groups = text_groups(df, text)
+    groups = stored_groups(df, text)
     lengths = regroup_lengths(groups)
     profile = length_profile(lengths)
     p = one_row(profile)

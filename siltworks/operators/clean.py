@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import (
     exact_quantiles,
     length_counts,
@@ -20,7 +21,7 @@ from siltworks.functions.stats import (
     outside_z,
     percent,
     regroup_lengths,
-    text_groups,
+    stored_groups,
 )
 from siltworks.operators.audit import imbalance_ratio
 from siltworks.operators.collect import dedupe_first, filter_blank
@@ -81,7 +82,7 @@ def clean(df: DataFrame, strategy: str, text: str = "text", id: str = "id", labe
     _check(strategy)
     if strategy == "conservative":
         return fill_missing(df, text, label_fill)
-    firsts = _usable(text_groups(df, text, id))
+    firsts = _usable(stored_groups(df, text, id))
     profile = one_row(length_profile(regroup_lengths(firsts, F.lit(1))))
     outlier = (outside_fence if strategy == "aggressive" else outside_z)(F.col("len"), profile)
     kept = firsts.filter(~outlier).select(F.col("first_id").alias(id))
@@ -92,7 +93,7 @@ def clean(df: DataFrame, strategy: str, text: str = "text", id: str = "id", labe
 def cleaning_log(df: DataFrame, strategy: str, text: str = "text") -> DataFrame:
     """Rows before, removed and after for every step, in one grouping of the texts."""
     _check(strategy)
-    groups = text_groups(df, text)
+    groups = stored_groups(df, text)
     if strategy == "conservative":
         total = F.coalesce(F.sum("n"), F.lit(0))
         filled = F.coalesce(F.sum(F.when(F.col("fp").isNull(), F.col("n"))), F.lit(0))
@@ -181,11 +182,16 @@ METRICS = ("rows", "missing_or_blank", "duplicates", "outliers_z", "imbalance_ra
 
 
 def quality_metrics(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row of the compared metrics, measured the same way on every table."""
-    groups = text_groups(df, text)
-    profile = one_row(length_profile(regroup_lengths(groups)))
+    """One row of the compared metrics, measured the same way on every table.
+
+    The table is read once, into (text hash, label) groups.
+    """
+    labeled = has(df, "label")
+    stored = stored_groups(df, text, by=("label",) if labeled else ())
+    groups = stored.groupBy("fp").agg(F.max("len").alias("len"), F.max("blank").alias("blank"), F.sum("n").alias("n"))
+    profile = one_row(length_profile(regroup_lengths(stored)))
     empty = F.col("fp").isNull() | F.col("blank")
-    ratio = imbalance_ratio(df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))).scalar() if has(df, "label") else F.lit(None)
+    ratio = imbalance_ratio(stored.groupBy("label").agg(F.sum("n").alias("n"))).scalar() if labeled else F.lit(None)
     zero = F.lit(0)
     return groups.agg(
         F.coalesce(F.sum("n"), zero).cast("double").alias("rows"),
@@ -196,24 +202,40 @@ def quality_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def compare_quality(before: DataFrame, after: DataFrame, text: str = "text") -> DataFrame:
-    """Every metric before and after, with the change in percent (NULL from zero)."""
-    old = one_row(quality_metrics(before, text))
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), old[m].alias("before"), F.col(m).alias("after")) for m in METRICS])
+def _metric_rows(df: DataFrame, text: str, side: str) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS])
+    return quality_metrics(df, text).select(F.lit(side).alias("side"), F.explode(cells).alias("c")).select("side", "c.metric", "c.value")
+
+
+def _compare(rows: DataFrame, side: str) -> DataFrame:
+    """Before/after rows of one side; ``rows`` holds five values per measured table."""
+
+    def pick(name: str) -> Column:
+        return F.max(F.when(F.col("side") == name, F.col("value")))
+
     change = F.round(F.try_divide((F.col("after") - F.col("before")) * 100, F.col("before")), 1)
     return (
-        quality_metrics(after, text)
-        .select(F.explode(rows).alias("r"))
-        .select("r.*")
+        rows.groupBy("metric")
+        .agg(pick("before").alias("before"), pick(side).alias("after"))
         .withColumn("change_pct", F.when(F.col("metric") != "imbalance_ratio", change))
     )
 
 
+def compare_quality(before: DataFrame, after: DataFrame, text: str = "text") -> DataFrame:
+    """Every metric before and after, with the change in percent (NULL from zero)."""
+    return _compare(_metric_rows(before, text, "before").unionByName(_metric_rows(after, text, "after")), "after")
+
+
 def class_distribution_after(df: DataFrame) -> DataFrame:
     return value_counts(df, "label", digits=1).withColumnRenamed("value", "label")
 
 
 def compare_strategies(df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
-    """The comparison table for all three strategies."""
-    parts = [compare_quality(df, clean(df, s, text, id), text).withColumn("strategy", F.lit(s)) for s in STRATEGIES]
-    return reduce(DataFrame.unionByName, parts)
+    """The comparison table for all three strategies.
+
+    The input and each cleaned version are measured once; what is combined afterwards
+    is five stored values per table.
+    """
+    sides = [_metric_rows(df, text, "before"), *[_metric_rows(clean(df, s, text, id), text, s) for s in STRATEGIES]]
+    rows = materialize(reduce(DataFrame.unionByName, sides), "metrics")
+    return reduce(DataFrame.unionByName, [_compare(rows, s).withColumn("strategy", F.lit(s)) for s in STRATEGIES])

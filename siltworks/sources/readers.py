@@ -36,6 +36,7 @@ def read_examples_csv(spark: SparkSession, path: str, schema: T.StructType = REV
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("escape", '"')
+        .option("nullValue", "\u0001")  # an unquoted empty field is NULL, a quoted one is ''
         .option("emptyValue", "")
         .option("encoding", "UTF-8")
         .csv(path)
