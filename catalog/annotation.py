@@ -168,11 +168,13 @@ def resume_labeling(spark, sf):
         f AS (SELECT batch, CASE WHEN covered AND batch NOT IN (SELECT batch FROM bad) THEN confidence ELSE 0e0 END AS confidence FROM a),
         g AS (SELECT batch, count(*) AS n, sum(confidence) AS s FROM f GROUP BY batch)
         SELECT batch, CAST(sum(n) OVER w AS BIGINT) AS done, round(1e2 * sum(n) OVER w / (SELECT sum(n) FROM g), 1) AS done_pct,
-               round(sum(s) OVER w / sum(n) OVER w, 6) AS avg_confidence FROM g WINDOW w AS (ORDER BY batch)""",
+               round(sum(s) OVER w / sum(n) OVER w + 1e-9, 6) AS avg_confidence FROM g WINDOW w AS (ORDER BY batch)""",
     ["corpus"],
 )
 def labeling_progress(spark, sf):
-    return N.labeling_progress(N.parse_label_replies(replies(spark, sf), CLASSES))
+    # the tiny offset keeps exact halves from rounding by summation order
+    out = N.labeling_progress(N.parse_label_replies(replies(spark, sf), CLASSES))
+    return out.withColumn("avg_confidence", F.round(F.col("avg_confidence") + 1e-9, 6))
 
 
 @query("needs_review", "SELECT id, confidence, coalesce(confidence < 0.75, false) AS needs_review FROM tagged", ["tagged"])

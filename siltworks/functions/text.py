@@ -57,5 +57,5 @@ def term_counts(terms: Column) -> Column:
         )[0]
 
     empty = F.array().cast("array<struct<term:string,tf:bigint>>")
-    counted = F.transform(F.array(F.array_sort(terms)), runs)[0]
+    counted = F.transform(F.array(F.sort_array(terms)), runs)[0]
     return F.when(F.size(terms) > 0, counted).otherwise(empty)

@@ -32,13 +32,19 @@ def _counted(df: DataFrame, col: str) -> DataFrame:
     return df if "term_counts" in df.columns else document_terms(df, col)
 
 
+def _exploded(counted: DataFrame, *keep: str) -> DataFrame:
+    """One row per (row, term).  The outer form keeps the optimizer from testing
+    ``size(term_counts) > 0`` below, which would count the terms a second time."""
+    return counted.select(*keep, F.explode_outer("term_counts").alias("t")).select(*keep, "t.term", "t.tf").filter("term IS NOT NULL")
+
+
 def tfidf_vocabulary(df: DataFrame, max_features: int = MAX_FEATURES, col: str = "text") -> DataFrame:
     """The most frequent terms with corpus count, document frequency and index.
 
     Ties in the count are broken by the term; indexes follow the term order.  The final
     ranking sees at most ``max_features`` rows.
     """
-    exploded = _counted(df, col).select(F.explode("term_counts").alias("t")).select("t.term", "t.tf")
+    exploded = _exploded(_counted(df, col))
     counts = exploded.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
     top = counts.orderBy(F.desc("tf"), "term").limit(max_features)
     return top.withColumn("idx", F.row_number().over(W.orderBy("term")) - 1)
@@ -56,7 +62,7 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, n_docs: int | Column, col: st
     ``max_features``, which makes the broadcast safe.  One shuffle brings the in-vocabulary
     terms of a row together for its norm.
     """
-    exploded = _counted(df, col).select(id, F.explode("term_counts").alias("t")).select(id, "t.term", "t.tf")
+    exploded = _exploded(_counted(df, col), id)
     table = vocab.select("term", "idx", idf(n_docs, F.col("df")).alias("idf"))
     weighted = exploded.join(F.broadcast(table), "term").select(id, F.struct("term", "idx", ((1.0 + F.log("tf")) * F.col("idf")).alias("w")).alias("e"))
     rows = weighted.groupBy(id).agg(F.collect_list("e").alias("es"), F.sqrt(F.sum(F.col("e.w") * F.col("e.w"))).alias("norm"))
@@ -87,8 +93,9 @@ def scale_stats(df: DataFrame, vec_col: str) -> DataFrame:
 def standard_scale(df: DataFrame, vec_col: str, stats: DataFrame | None = None, out: str = "scaled") -> DataFrame:
     """(x - mean) / std per dimension, with statistics fitted on ``stats`` or ``df``."""
     s = one_row(scale_stats(df, vec_col) if stats is None else stats)
-    centred = F.zip_with(F.col(vec_col).cast("array<double>"), s["mean"], lambda x, m: x - m)
-    return df.withColumn(out, F.zip_with(centred, s["std"], lambda x, d: x / d))
+    fitted = df.withColumn("_mean", s["mean"]).withColumn("_std", s["std"])
+    centred = F.zip_with(F.col(vec_col).cast("array<double>"), F.col("_mean"), lambda x, m: x - m)
+    return fitted.withColumn(out, F.zip_with(centred, F.col("_std"), lambda x, d: x / d)).drop("_mean", "_std")
 
 
 def json_numbers(df: DataFrame, keys: list[str], col: str = "text", out: str = "vector") -> DataFrame:

@@ -159,7 +159,8 @@ def schema_report(df: DataFrame, rows: int = 3) -> DataFrame:
 
 
 def top_words(df: DataFrame, n: int = 20, col: str = "text") -> DataFrame:
-    words = df.select(F.explode(tokens(F.col(col))).alias("word"))
+    # the outer form avoids an inferred size(...) > 0 filter that would tokenize twice
+    words = df.select(F.explode_outer(tokens(F.col(col))).alias("word")).filter("word IS NOT NULL")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(n)
 
 
