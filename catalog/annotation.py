@@ -130,7 +130,7 @@ _HITS = "len(regexp_extract_all(lower(coalesce(text, '')), '{p}'))"
     ["dirty"],
 )
 def auto_label(spark, sf):
-    out = N.auto_label(view(spark, sf, "dirty"), CLASSES, rules=RULES)
+    out = N.auto_label(view(spark, sf, "dirty", spread=True), CLASSES, rules=RULES)
     return out.select("id", "label", F.round("confidence", 6).alias("confidence"))
 
 
@@ -149,7 +149,7 @@ def length_labeler(texts):
     ["dirty"],
 )
 def auto_label_batches(spark, sf):
-    return N.auto_label(view(spark, sf, "dirty"), CLASSES, length_labeler).select("id", "label", "confidence")
+    return N.auto_label(view(spark, sf, "dirty", spread=True), CLASSES, length_labeler).select("id", "label", "confidence")
 
 
 @query(

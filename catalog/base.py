@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltworks.sources.readers import spread_small
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -115,21 +117,27 @@ def with_views(sql: str, names: list[str], spark: bool = False) -> str:
     return _dialect(sql, spark)
 
 
-_handles: dict[tuple[str, str, str], DataFrame] = {}
+_handles: dict[tuple, DataFrame] = {}
+
 
+def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    """One reader per table and session, so footers are read once.
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One reader per table and session, so footers are read once."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    ``spread`` is for queries that are heavy per row: a small single-file table is
+    distributed over the cores first.
+    """
+    key = (spark.sparkContext.applicationId, sf, name, spread)
     if key not in _handles:
-        _handles[key] = spark.read.parquet(f"{sf}/{name}.parquet")
+        path = f"{sf}/{name}.parquet"
+        df = spark.read.parquet(path)
+        _handles[key] = spread_small(df, path) if spread else df
     return _handles[key]
 
 
-def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
     sql = with_views(f"SELECT * FROM {name}", [name], spark=True)
     for base in set(_TABLES.findall(sql)):
-        table(spark, sf, base).createOrReplaceTempView(base)
+        table(spark, sf, base, spread and base == "documents").createOrReplaceTempView(base)
     return spark.sql(sql)
 
 

@@ -19,7 +19,7 @@ _TERMS = """t AS (SELECT id, tokens, list_concat(tokens, CASE WHEN len(tokens) <
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return table(spark, sf, "documents", spread=True).select(F.col("doc_id").alias("id"), "text")
 
 
 @query("tokenize", f"WITH {_WORDS}, {_TERMS} SELECT id, array_to_string(tokens, ' ') AS tokens, array_to_string(terms, '|') AS terms FROM t")
@@ -270,7 +270,7 @@ def entropy_lift(spark, sf):
 # ---- models: checked by unit tests, no SQL
 
 def _text_split(spark, sf):
-    rows = view(spark, sf, "corpus").filter("modality = 'text' AND label <> 'unlabeled'")
+    rows = view(spark, sf, "corpus", spread=True).filter("modality = 'text' AND label <> 'unlabeled'")
     return materialize(A.stratified_split(rows), "split")
 
 
@@ -283,8 +283,9 @@ def train(spark, sf):
     """Logistic regression on the labeled documents, measured on the held-out ones."""
     split = _text_split(spark, sf)
     features = X.TermFeatures()
-    classifier = M.train(features.prepare(split.filter("split <> 'test'")), features)
-    held = features.prepare(_part(split, "test"))
+    prepared = materialize(features.prepare(split), "prepared")
+    classifier = M.train(prepared.filter("split <> 'test'"), features)
+    held = prepared.filter("split = 'test'")
     return M.evaluate(classifier.classify(held).join(held.select("id", "label"), "id"))
 
 

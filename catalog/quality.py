@@ -127,7 +127,7 @@ def schema_report(spark, sf):
     ["corpus"],
 )
 def top_words(spark, sf):
-    return P.top_words(view(spark, sf, "corpus"))
+    return P.top_words(view(spark, sf, "corpus", spread=True))
 
 
 # ---- audit

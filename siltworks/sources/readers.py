@@ -15,6 +15,20 @@ def read_examples(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.parquet(path)
 
 
+def spread_small(df: DataFrame, path: str, max_bytes: int = 1 << 30) -> DataFrame:
+    """Spread the rows of a small table that sits in fewer files than there are cores.
+
+    One file with one row group is one task, however many cores wait.  Only sizes from
+    the file listing are read; a table that is larger or already split stays as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    found = listing.agg(F.count("path").alias("files"), F.sum("length").alias("bytes")).first()
+    small = found["files"] < cores and (found["bytes"] or 0) <= max_bytes
+    return df.repartition(cores) if small else df
+
+
 def read_many(spark: SparkSession, *paths: str, schema: T.StructType | None = UNIFIED) -> DataFrame:
     """Read and union every table under the given paths or globs.
 
