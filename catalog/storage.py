@@ -22,10 +22,10 @@ def read_examples(spark, sf):
     return R.read_examples(spark, path)
 
 
-@query("write_examples", f"SELECT {_COLS} FROM corpus WHERE modality = 'tabular'", ["corpus"])
+@query("write_examples", f"SELECT {_COLS} FROM corpus", ["corpus"])
 def write_examples(spark, sf):
     path = W.write_examples(view(spark, sf, "corpus").repartition(4), new_path(spark, "examples"))
-    return R.read_examples(spark, path).filter("modality = 'tabular'")
+    return R.read_examples(spark, path)
 
 
 @query("read_examples_csv", "SELECT id, text, label, source, confidence, corrected_label FROM reviewed", ["reviewed"])

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.joins import join_small
+from siltworks.functions.scratch import materialize
+
 
 def shuffle_key(id: str, salt: int | str) -> Column:
     return F.md5(F.concat_ws(":", F.col(id).cast("string"), F.lit(str(salt))).cast("binary"))
@@ -56,7 +59,8 @@ def hash_cuts(df: DataFrame, wanted: DataFrame, by: str, id: str = "id", salt: i
         .select("_by", "_b", "name", (F.col("position") - F.col("_lo")).alias("_k"))
     )
     order = W.partitionBy("_by", "_b").orderBy("_h", "_id")
-    slices = narrow.join(targets.select("_by", "_b").distinct(), ["_by", "_b"], "left_semi")
+    targets = materialize(targets, "targets")  # at most one row per wanted rank
+    slices = join_small(narrow, targets.select("_by", "_b").distinct(), ["_by", "_b"], "left_semi")
     return (
         slices.withColumn("_r", F.row_number().over(order))
         .join(targets, ["_by", "_b"])

@@ -13,19 +13,28 @@ from siltworks.functions.stats import percent
 
 
 def align_by_id(modalities: dict[str, DataFrame], key: str = "id") -> DataFrame:
-    """Full outer alignment on ``key``; nothing is dropped.
+    """Full outer alignment of all tables on ``key`` with a single shuffle; nothing is dropped.
 
-    Each table is expected to hold one row per key (see ``one_per_key``).  Columns are
-    prefixed with the modality name and ``has_<modality>`` flags tell what is present.
+    Columns are prefixed with the modality name and ``has_<modality>`` flags tell what is
+    present.  A table must hold one row per key (see ``one_per_key``); a repeated key
+    raises instead of multiplying or losing rows.  Rows without a key stay on their own.
     """
-    named = []
+    packed = []
     for name, df in modalities.items():
-        renamed = [F.col(c).alias(f"{name}_{c}") for c in df.columns if c != key]
-        named.append(df.select(key, *renamed, F.lit(True).alias(f"has_{name}")))
-    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), named)
-    flags = [f"has_{name}" for name in modalities]
-    rest = [c for c in joined.columns if c != key and c not in flags]
-    return joined.select(key, *rest, *[F.coalesce(f, F.lit(False)).alias(f) for f in flags])
+        cells = F.struct(F.lit(True).alias("_here"), *[c for c in df.columns if c != key])
+        solo = F.when(F.col(key).isNull(), F.concat(F.lit(name), F.monotonically_increasing_id().cast("string")))
+        packed.append(df.select(key, solo.alias("_solo"), cells.alias(name)))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    one = [F.min(name).alias(name) for name in modalities]
+    counts = [F.count(name).alias(f"_n_{name}") for name in modalities]
+    rows = union.groupBy(key, "_solo").agg(*one, *counts)
+    columns, flags = [F.col(key)], []
+    for name, df in modalities.items():
+        repeated = F.raise_error(F.concat(F.lit(f"several rows of {name} for key "), F.col(key).cast("string")))
+        cell = F.when(F.col(f"_n_{name}") > 1, repeated.cast(rows.schema[name].dataType)).otherwise(F.col(name))
+        columns += [cell[c].alias(f"{name}_{c}") for c in df.columns if c != key]
+        flags.append((F.col(f"_n_{name}") > 0).alias(f"has_{name}"))
+    return rows.select(*columns, *flags)
 
 
 def one_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import (
     length_counts,
     length_profile,
@@ -58,12 +59,12 @@ def _outlier_row(df: DataFrame, test: Column, counts: DataFrame) -> DataFrame:
 
 def length_outliers_iqr(df: DataFrame, text: str = "text") -> DataFrame:
     """Texts whose length lies outside the IQR fence; share of all rows."""
-    counts = length_counts(df, text)
+    counts = materialize(length_counts(df, text), "length-counts")
     return _outlier_row(df, outside_fence(F.col("len"), one_row(length_profile(counts))), counts)
 
 
 def length_outliers_z(df: DataFrame, k: float = 3.0, text: str = "text") -> DataFrame:
-    counts = length_counts(df, text)
+    counts = materialize(length_counts(df, text), "length-counts")
     return _outlier_row(df, outside_z(F.col("len"), one_row(length_profile(counts)), k), counts)
 
 
@@ -101,8 +102,7 @@ def class_imbalance(df: DataFrame) -> DataFrame:
     Rows with a NULL label count as labeled although they belong to no class; they are
     reported separately as well.
     """
-    labels = df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    return _class_rows(labels)
+    return _class_rows(materialize(df.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "labels"))
 
 
 def _class_rows(labels: DataFrame) -> DataFrame:
@@ -175,6 +175,7 @@ def audit(df: DataFrame, text: str = "text") -> DataFrame:
         by_label = df.groupBy("label").agg(
             F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"_m_{c}") for c in others]
         )
+        by_label = materialize(by_label, "labels")
         sums = [(c, F.sum(f"_m_{c}")) for c in others]
         sums.append(("label", F.sum(F.when(F.col("label").isNull(), F.col("n")).otherwise(0))))
         parts.append(by_label.agg(F.array(*[share("missing", c, s) for c, s in sums]).alias("r")))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltworks.functions.joins import BROADCAST_ROWS, join_small
 from siltworks.functions.stats import one_row
 from siltworks.functions.text import bigrams, term_counts, tokens
 
@@ -58,13 +59,12 @@ def idf(n_docs: int | Column, df: Column) -> Column:
 def tfidf_weights(df: DataFrame, vocab: DataFrame, n_docs: int | Column, col: str = "text", id: str = "id") -> DataFrame:
     """(id, term, idx, weight): (1 + ln tf) * idf, scaled to unit length per row.
 
-    ``vocab`` comes from ``tfidf_vocabulary`` and is therefore bounded by its
-    ``max_features``, which makes the broadcast safe.  One shuffle brings the in-vocabulary
-    terms of a row together for its norm.
+    ``vocab`` is broadcast when its counted size allows.  One shuffle brings the
+    in-vocabulary terms of a row together for its norm.
     """
     exploded = _exploded(_counted(df, col), id)
     table = vocab.select("term", "idx", idf(n_docs, F.col("df")).alias("idf"))
-    weighted = exploded.join(F.broadcast(table), "term").select(id, F.struct("term", "idx", ((1.0 + F.log("tf")) * F.col("idf")).alias("w")).alias("e"))
+    weighted = join_small(exploded, table, "term").select(id, F.struct("term", "idx", ((1.0 + F.log("tf")) * F.col("idf")).alias("w")).alias("e"))
     rows = weighted.groupBy(id).agg(F.collect_list("e").alias("es"), F.sqrt(F.sum(F.col("e.w") * F.col("e.w"))).alias("norm"))
     return rows.select(id, "norm", F.explode("es").alias("e")).select(id, "e.term", "e.idx", (F.col("e.w") / F.col("norm")).alias("weight"))
 
@@ -149,8 +149,7 @@ class TermFeatures:
 
     def _weighted(self, prepared: DataFrame, table: DataFrame) -> DataFrame:
         exploded = prepared.select("id", F.explode_outer("term_counts").alias("t")).select("id", "t.term", "t.tf")
-        # the table holds at most max_features rows
-        joined = exploded.join(F.broadcast(table), "term", "left")
+        joined = exploded.join(F.broadcast(table) if len(self.vocab) <= BROADCAST_ROWS else table, "term", "left")
         return joined.withColumn("w", F.coalesce((1.0 + F.log("tf")) * F.col("idf"), F.lit(0.0)))
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
@@ -197,8 +196,12 @@ class DenseFeatures:
         self.mean, self.std = list(row["mean"]), list(row["std"])
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
+        return self.attach(prepared).select("id", "features")
+
+    def attach(self, prepared: DataFrame) -> DataFrame:
+        """Add ``features`` in place; rows are not moved."""
         stats = prepared.sparkSession.createDataFrame([(self.mean, self.std)], "mean array<double>, std array<double>")
-        return standard_scale(prepared, "vector", stats).select("id", array_to_vector("scaled").alias("features"))
+        return standard_scale(prepared, "vector", stats).withColumn("features", array_to_vector("scaled")).drop("scaled")
 
 
 def features_for(df: DataFrame, modality: str, mode: str = "tfidf", embedding_col: str = "embedding", max_features: int = MAX_FEATURES):

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import length_counts, length_profile, one_row, percent
 from siltworks.functions.text import tokens
 from siltworks.schema import REVIEW_THRESHOLD, UNLABELED, has
@@ -33,14 +34,10 @@ def value_counts(df: DataFrame, col: str, denominator: str = "rows", digits: int
     """
     if denominator not in ("rows", "values"):
         raise ValueError("denominator is 'rows' or 'values'")
-    counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    base = counts if denominator == "rows" else counts.filter("value IS NOT NULL")
-    total = base.agg(F.sum("n")).scalar()
-    return (
-        counts.filter("value IS NOT NULL")
-        .select("value", "n", percent(F.col("n"), total, digits).alias("pct"))
-        .orderBy(F.desc("n"), "value")
-    )
+    value = F.col(col)
+    counts = df.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1) if denominator == "rows" else value)).scalar()
+    return counts.select("value", "n", percent(F.col("n"), total, digits).alias("pct")).orderBy(F.desc("n"), "value")
 
 
 def source_modality_counts(df: DataFrame) -> DataFrame:
@@ -63,7 +60,7 @@ def eda_stats(df: DataFrame) -> DataFrame:
     One scan of the small columns gives joint counts; each distribution is summed from
     those.  Long rows instead of one-row maps keep any number of sources distributed.
     """
-    joint = df.groupBy("modality", "source", "label").agg(F.count(F.lit(1)).alias("n"))
+    joint = materialize(df.groupBy("modality", "source", "label").agg(F.count(F.lit(1)).alias("n")), "joint-counts")
     total = joint.agg(F.sum("n").cast("double").alias("value")).select(
         F.lit("total_rows").alias("section"), F.lit(None).cast("string").alias("key"), "value"
     )
@@ -128,7 +125,7 @@ def table_profile(df: DataFrame, threshold: float = REVIEW_THRESHOLD) -> DataFra
             F.count("confidence").alias("c"),
             F.count_if(F.col("confidence") < threshold).alias("low"),
         ]
-    joint = df.groupBy(*keys).agg(*aggregates)
+    joint = materialize(df.groupBy(*keys).agg(*aggregates), "joint-counts")
     triples = [("rows", None, F.sum("n")), ("columns", None, F.lit(len(df.columns)))]
     if "source" in keys:
         triples.append(("sources", None, F.count_distinct("source")))
