@@ -106,7 +106,13 @@ def tabular_features(spark, sf):
     return out.select("id", F.round(F.get("scaled", F.lit(0)), 6).alias("k"), F.round(F.get("scaled", F.lit(1)), 6).alias("v"))
 
 
-@query("features_for")
+@query(
+    "features_for",
+    f"""WITH {_WORDS}, {_TERMS}, o AS (SELECT DISTINCT unnest(terms) AS term FROM t)
+        SELECT 'text' AS modality, 'tfidf' AS kind, CAST(least(10000, count(*)) AS INT) AS dimensions FROM o
+        UNION ALL SELECT 'image', 'embedding', CAST(max(len(embedding)) AS INT) FROM embeddings
+        UNION ALL SELECT 'tabular', 'tabular', CAST(count(DISTINCT k) AS INT) FROM (SELECT unnest(json_keys(props)) AS k FROM events)""",
+)
 def features_for(spark, sf):
     """The extractor chosen for each modality, fitted on its own rows."""
     events = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("props").alias("text"))
@@ -313,10 +319,13 @@ def predict_forest(spark, sf):
     return M.predict(classifier, rows).drop("embedding")
 
 
-@query("prediction_distribution")
+@query(
+    "prediction_distribution",
+    "SELECT prediction AS value, count(*) AS n, round(1e2 * count(*) / (SELECT count(*) FROM predictions), 1) AS pct FROM predictions GROUP BY prediction",
+    ["predictions"],
+)
 def prediction_distribution(spark, sf):
-    rows, classifier = _embedding_model(spark, sf, "logreg")
-    return M.prediction_distribution(M.predict(classifier, rows))
+    return M.prediction_distribution(view(spark, sf, "predictions").withColumnRenamed("prediction", "predicted_label"))
 
 
 @query("save_model")

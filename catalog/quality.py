@@ -115,9 +115,15 @@ def top_sources(spark, sf):
     return P.top_sources(view(spark, sf, "dirty"))
 
 
-@query("schema_report")
+@query(
+    "schema_report",
+    """SELECT CAST(p AS INT) AS position, name, type, CAST(least(3, (SELECT count(v) FROM (SELECT 1 AS v FROM corpus))) AS INT) AS samples
+       FROM (VALUES (0, 'id', 'bigint'), (1, 'text', 'string'), (2, 'label', 'string'), (3, 'modality', 'string'), (4, 'source', 'string'), (5, 'collected_at', 'string')) t(p, name, type)""",
+    ["corpus"],
+)
 def schema_report(spark, sf):
-    return P.schema_report(view(spark, sf, "dirty"))
+    report = P.schema_report(view(spark, sf, "corpus"))
+    return report.withColumn("samples", F.size("sample")).drop("sample")
 
 
 @query(

@@ -104,7 +104,7 @@ def length_profile(counts: DataFrame) -> DataFrame:
     return centred.select(
         "total",
         F.try_divide(F.col("s1").cast("double"), total).alias("mean"),
-        F.sqrt(F.greatest(F.lit(0.0), F.try_divide(d2 - d1 * F.try_divide(d1, total), total - 1))).alias("std"),
+        F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(d2 - d1 * F.try_divide(d1, total), total - 1)))).alias("std"),
         q1.alias("q1"),
         F.get("q", F.lit(1)).alias("median"),
         q3.alias("q3"),
