@@ -145,7 +145,7 @@ class TermFeatures:
         if coefficients is None:
             return df.sparkSession.createDataFrame(self.vocab or [("", 0, 0.0)], "term string, idx int, idf double")
         rows = [(t, i, w, [row[i] for row in coefficients]) for t, i, w in self.vocab]
-        return df.sparkSession.createDataFrame(rows, "term string, idx int, idf double, coef array<double>")
+        return df.sparkSession.createDataFrame(rows, "term string, idx int, idf double, coef array<double>", verifySchema=False)
 
     def _weighted(self, prepared: DataFrame, table: DataFrame) -> DataFrame:
         exploded = prepared.select("id", F.explode_outer("term_counts").alias("t")).select("id", "t.term", "t.tf")
