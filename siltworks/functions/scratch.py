@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_stored: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +35,22 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, which also cuts its lineage."""
-    path = new_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session has stored; returns how many.
+
+    DataFrames that still read them must not be used afterwards.
+    """
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = hadoop(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)

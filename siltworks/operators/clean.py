@@ -1,7 +1,7 @@
 """Cleaning strategies, per-issue fixes and before/after comparison.
 
 Cleaning is decided on one narrow row per distinct text (hash, first id, length,
-copies).  Only the final semi join touches whole rows.
+copies).  Only the last step touches whole rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from siltworks.functions.stats import (
     stored_groups,
 )
 from siltworks.operators.audit import imbalance_ratio
-from siltworks.operators.collect import dedupe_first, filter_blank
+from siltworks.operators.collect import dedupe_first, filter_blank, keep_first
 from siltworks.operators.profile import value_counts
 from siltworks.schema import TEXT_LABEL_SOURCE, UNKNOWN, has, numeric_columns
 
@@ -84,10 +84,9 @@ def clean(df: DataFrame, strategy: str, text: str = "text", id: str = "id", labe
         return fill_missing(df, text, label_fill)
     firsts = _usable(stored_groups(df, text, id))
     profile = one_row(length_profile(regroup_lengths(firsts, F.lit(1))))
-    outlier = (outside_fence if strategy == "aggressive" else outside_z)(F.col("len"), profile)
-    kept = firsts.filter(~outlier).select(F.col("first_id").alias(id))
+    outlier = (outside_fence if strategy == "aggressive" else outside_z)(F.length(text), profile)
     source = df if strategy == "aggressive" else fill_missing(df, text, label_fill)
-    return filter_blank(source, text).join(kept, id, "left_semi")
+    return keep_first(filter_blank(source, text).filter(~outlier), firsts, text, id)
 
 
 def cleaning_log(df: DataFrame, strategy: str, text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.stats import stored_groups
 from siltworks.functions.text import fingerprint, is_blank
 from siltworks.schema import MODALITIES, UNLABELED
 
@@ -52,14 +53,33 @@ def filter_blank(df: DataFrame, col: str = "text") -> DataFrame:
     return df.filter(F.col(col).isNotNull() & ~is_blank(F.col(col)))
 
 
+REPEATED_LIMIT = 500_000
+
+
+def keep_first(df: DataFrame, groups: DataFrame, key: str, order: str, limit: int = REPEATED_LIMIT) -> DataFrame:
+    """Rows of ``df`` that come first in their group.
+
+    ``groups`` is a stored table (fp, first_id, n) that covers every row of ``df``.  Only
+    keys with copies can lose rows.  When those are few (counted, 40 bytes each) they are
+    broadcast and whole rows stay where they are, even if one key has most of the rows.
+    Otherwise the first ids decide in a semi join on the unique ``order``.
+    """
+    repeated = groups.filter("n > 1")
+    if repeated.count() > limit:
+        return df.join(groups.select(F.col("first_id").alias(order)), order, "left_semi")
+    key_of = F.coalesce(fingerprint(F.col(key)), F.lit(b""))
+    firsts = repeated.select(F.coalesce("fp", F.lit(b"")).alias("_fp"), F.col("first_id").alias("_first"))
+    joined = df.withColumn("_fp", key_of).join(F.broadcast(firsts), "_fp", "left")
+    return joined.filter(F.col("_first").isNull() | (F.col("_first") == F.col(order))).select(*df.columns)
+
+
 def dedupe_first(df: DataFrame, key: str = "text", order: str = "id") -> DataFrame:
     """Keep the row with the smallest ``order`` for every distinct ``key``.
 
     ``order`` must be unique.  Only (hash, order) is grouped, so copies of a hot text
-    collapse map-side; rows are then kept by a semi join on the unique ``order``.
+    collapse before the shuffle.
     """
-    kept = df.select(fingerprint(F.col(key)).alias("_fp"), order).groupBy("_fp").agg(F.min(order).alias(order))
-    return df.join(kept.select(order), order, "left_semi")
+    return keep_first(df, stored_groups(df, key, order), key, order)
 
 
 def combine_sources(dfs: list[DataFrame], key: str = "text", id: str = "id") -> DataFrame:

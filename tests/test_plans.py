@@ -39,10 +39,23 @@ def test_split_tags_rows_without_moving_them(spark, sf):
     assert "Window" not in text and "SortMergeJoin" not in text
 
 
-def test_dedupe_shuffles_hashes_not_texts(spark, sf):
-    text = plan(QUERIES["dedupe_first"](spark, sf))
-    partial = re.findall(r"HashAggregate\(keys=\[_fp[^\n]*", text)
-    assert partial and "SortAggregate" not in text
+def test_text_groups_shuffle_hashes_not_texts(spark, sf):
+    from siltworks.functions.stats import text_groups
+
+    text = plan(text_groups(view(spark, sf, "dirty")))
+    assert re.findall(r"HashAggregate\(keys=\[fp[^\n]*", text) and "SortAggregate" not in text
+
+
+def test_few_repeated_keys_leave_rows_in_place(spark, sf):
+    from siltworks.operators.collect import keep_first
+    from siltworks.functions.stats import stored_groups
+
+    df = view(spark, sf, "dirty").select("id", "text")
+    groups = stored_groups(df)
+    near, far = keep_first(df, groups, "text", "id"), keep_first(df, groups, "text", "id", limit=0)
+    assert "Exchange hashpartitioning" not in plan(near).split("Union")[0]
+    assert "LeftSemi" in plan(far)
+    assert {r["id"] for r in near.collect()} == {r["id"] for r in far.collect()}
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf):

@@ -115,3 +115,13 @@ def test_small_single_file_is_spread(spark, tmp_path):
 
 def test_reviewed_schema_keeps_order(spark):
     assert REVIEWED.fieldNames()[-2:] == ["confidence", "corrected_label"]
+
+
+def test_release_removes_only_stored_tables(spark, tmp_path):
+    kept = W.write_examples(unified(spark, ["a"]), str(tmp_path / "kept"))
+    stored = scratch.materialize(unified(spark, ["b"]), "gone")
+    path = stored.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+    assert scratch.release(spark) >= 1
+    import os
+
+    assert not os.path.exists(path) and os.path.exists(kept)
