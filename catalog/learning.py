@@ -193,16 +193,27 @@ def move_to_labeled(spark, sf):
     return labeled.withColumn("part", F.lit("labeled")).unionByName(pool.withColumn("part", F.lit("pool"))).drop("label")
 
 
+_EVALUATED = """
+    WITH k AS (SELECT label AS c FROM predictions UNION SELECT prediction FROM predictions),
+    m AS (SELECT c, (SELECT count(*) FROM predictions WHERE label = c AND prediction = c) AS tp, (SELECT count(*) FROM predictions WHERE label = c) AS s,
+                 (SELECT count(*) FROM predictions WHERE prediction = c) AS p FROM k)
+    SELECT {extra}round(1e0 * sum(tp) / sum(s), 4) AS accuracy, round(sum(CASE WHEN s + p = 0 THEN 0 ELSE 2e0 * tp / (s + p) END * s) / sum(s), 4) AS f1 FROM m"""
+
+
+@query("evaluate", _EVALUATED.format(extra=""), ["predictions"])
+def evaluate(spark, sf):
+    return M.evaluate(view(spark, sf, "predictions"))
+
+
 @query(
-    "evaluate",
-    """WITH k AS (SELECT label AS c FROM predictions UNION SELECT prediction FROM predictions),
-       m AS (SELECT c, (SELECT count(*) FROM predictions WHERE label = c AND prediction = c) AS tp, (SELECT count(*) FROM predictions WHERE label = c) AS s,
-                    (SELECT count(*) FROM predictions WHERE prediction = c) AS p FROM k)
-       SELECT round(1e0 * sum(tp) / sum(s), 4) AS accuracy, round(sum(CASE WHEN s + p = 0 THEN 0 ELSE 2e0 * tp / (s + p) END * s) / sum(s), 4) AS f1 FROM m""",
+    "history_record",
+    _EVALUATED.format(extra="CAST(0 AS INT) AS iteration, CAST(sum(s) AS BIGINT) AS n_labeled, 'entropy' AS strategy, 'image' AS modality, 'logreg' AS model, "),
     ["predictions"],
 )
-def evaluate(spark, sf):
-    return M.evaluate(view(spark, sf, "predictions"))
+def history_record(spark, sf):
+    df = view(spark, sf, "predictions")
+    figures = M.evaluate(df).first()
+    return A.history_record(spark, 0, df.count(), figures["accuracy"], figures["f1"], "entropy", "image", "logreg")
 
 
 @query("learning_curve", "SELECT strategy, iteration, n_labeled, accuracy AS value FROM histories", ["histories"])

@@ -82,7 +82,11 @@ def clean(df: DataFrame, strategy: str, text: str = "text", id: str = "id", labe
     _check(strategy)
     if strategy == "conservative":
         return fill_missing(df, text, label_fill)
-    firsts = _usable(stored_groups(df, text, id))
+    return _drop_rows(df, stored_groups(df, text, id), strategy, text, id, label_fill)
+
+
+def _drop_rows(df: DataFrame, groups: DataFrame, strategy: str, text: str, id: str, label_fill: str = UNKNOWN) -> DataFrame:
+    firsts = _usable(groups)
     profile = one_row(length_profile(regroup_lengths(firsts, F.lit(1))))
     outlier = (outside_fence if strategy == "aggressive" else outside_z)(F.length(text), profile)
     source = df if strategy == "aggressive" else fill_missing(df, text, label_fill)
@@ -232,9 +236,11 @@ def class_distribution_after(df: DataFrame) -> DataFrame:
 def compare_strategies(df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
     """The comparison table for all three strategies.
 
-    The input and each cleaned version are measured once; what is combined afterwards
-    is five stored values per table.
+    The input and each cleaned version are measured once, the dropping strategies share
+    one grouping of the texts, and what is combined afterwards is five values per table.
     """
-    sides = [_metric_rows(df, text, "before"), *[_metric_rows(clean(df, s, text, id), text, s) for s in STRATEGIES]]
+    groups = stored_groups(df, text, id)
+    cleaned = {s: fill_missing(df, text) if s == "conservative" else _drop_rows(df, groups, s, text, id) for s in STRATEGIES}
+    sides = [_metric_rows(df, text, "before"), *[_metric_rows(after, text, s) for s, after in cleaned.items()]]
     rows = materialize(reduce(DataFrame.unionByName, sides), "metrics")
     return reduce(DataFrame.unionByName, [_compare(rows, s).withColumn("strategy", F.lit(s)) for s in STRATEGIES])
