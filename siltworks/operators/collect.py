@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import stored_groups
 from siltworks.functions.text import fingerprint, is_blank
 from siltworks.schema import MODALITIES, UNLABELED
@@ -56,21 +57,26 @@ def filter_blank(df: DataFrame, col: str = "text") -> DataFrame:
 REPEATED_LIMIT = 500_000
 
 
-def keep_first(df: DataFrame, groups: DataFrame, key: str, order: str, limit: int = REPEATED_LIMIT) -> DataFrame:
-    """Rows of ``df`` that come first in their group.
+def keep_winners(df: DataFrame, groups: DataFrame, key: str, on: list[str], limit: int = REPEATED_LIMIT) -> DataFrame:
+    """The rows of ``df`` that won their group; ``on`` identifies a row.
 
-    ``groups`` is a stored table (fp, first_id, n) that covers every row of ``df``.  Only
-    keys with copies can lose rows.  When those are few (counted, 40 bytes each) they are
-    broadcast and whole rows stay where they are, even if one key has most of the rows.
-    Otherwise the first ids decide in a semi join on the unique ``order``.
+    ``groups`` is a stored table (fp, n, *on) with the winner of every key in ``df``.
+    Only keys with copies can lose rows.  When those are few (counted, some 50 bytes each)
+    they are broadcast and whole rows stay where they are, even if one key has most of the
+    rows.  Otherwise the winners decide in a semi join on ``on``.
     """
     repeated = groups.filter("n > 1")
     if repeated.count() > limit:
-        return df.join(groups.select(F.col("first_id").alias(order)), order, "left_semi")
-    key_of = F.coalesce(fingerprint(F.col(key)), F.lit(b""))
-    firsts = repeated.select(F.coalesce("fp", F.lit(b"")).alias("_fp"), F.col("first_id").alias("_first"))
-    joined = df.withColumn("_fp", key_of).join(F.broadcast(firsts), "_fp", "left")
-    return joined.filter(F.col("_first").isNull() | (F.col("_first") == F.col(order))).select(*df.columns)
+        return df.join(groups.select(*on), on, "left_semi")
+    winners = repeated.select(F.coalesce("fp", F.lit(b"")).alias("_fp"), F.struct(*on).alias("_win"))
+    keyed = df.withColumn("_fp", F.coalesce(fingerprint(F.col(key)), F.lit(b"")))
+    joined = keyed.join(F.broadcast(winners), "_fp", "left")
+    return joined.filter(F.col("_win").isNull() | (F.col("_win") == F.struct(*on))).select(*df.columns)
+
+
+def keep_first(df: DataFrame, groups: DataFrame, key: str, order: str, limit: int = REPEATED_LIMIT) -> DataFrame:
+    """``keep_winners`` for stored text groups, whose winner is the first id."""
+    return keep_winners(df, groups.withColumnRenamed("first_id", order), key, [order], limit)
 
 
 def dedupe_first(df: DataFrame, key: str = "text", order: str = "id") -> DataFrame:
@@ -92,12 +98,13 @@ def combine_sources(dfs: list[DataFrame], key: str = "text", id: str = "id") ->
     placed = [df.withColumn("_pos", F.lit(i)) for i, df in enumerate(dfs)]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
     first = (
-        union.select(fingerprint(F.col(key)).alias("_fp"), F.struct("_pos", id).alias("_at"))
-        .groupBy("_fp")
-        .agg(F.min("_at").alias("_at"))
-        .select(F.col(f"_at.{id}").alias(id), F.col("_at._pos").alias("_pos"))
+        union.select(fingerprint(F.col(key)).alias("fp"), F.struct("_pos", id).alias("_at"))
+        .groupBy("fp")
+        .agg(F.min("_at").alias("_at"), F.count(F.lit(1)).alias("n"))
+        .select("fp", "n", F.col(f"_at.{id}").alias(id), F.col("_at._pos").alias("_pos"))
     )
-    return union.join(first, [id, "_pos"], "left_semi").withColumn(id, F.col(id) * k + F.col("_pos")).drop("_pos")
+    kept = keep_winners(union, materialize(first, "text-groups"), key, [id, "_pos"])
+    return kept.withColumn(id, F.col(id) * k + F.col("_pos")).drop("_pos")
 
 
 def source_kind(df: DataFrame, col: str = "source") -> DataFrame:
@@ -165,8 +172,13 @@ def visible_text(html: Column) -> Column:
 
 
 def html_to_text(df: DataFrame, html_col: str = "html", url_col: str = "url", id_col: str = "id", collected_at: str | None = None) -> DataFrame:
-    """Stored pages to unified rows with a ``scrape:<url>`` source."""
-    pages = df.select(F.col(id_col).alias("id"), visible_text(F.col(html_col)).alias("text"), F.concat(F.lit("scrape:"), F.col(url_col)).alias("src"))
+    """Stored pages to unified rows with a ``scrape:<url>`` source.
+
+    The text passes through a one-element array: a filter on a generated column is not
+    pushed down, so the markup is stripped once, not again for the blank test.
+    """
+    text = F.explode_outer(F.array(visible_text(F.col(html_col))))
+    pages = df.select(F.col(id_col).alias("id"), text.alias("text"), F.concat(F.lit("scrape:"), F.col(url_col)).alias("src"))
     return unify(pages, "text", source=F.col("src"), collected_at=collected_at)
 
 
