@@ -107,7 +107,9 @@ def json_numbers(df: DataFrame, keys: list[str], col: str = "text", out: str = "
 
 def json_keys(df: DataFrame, col: str = "text", limit: int = 4096) -> list[str]:
     """Sorted distinct keys; refuses key spaces that could not be vector dimensions."""
-    keys = df.select(F.explode(F.map_keys(F.from_json(col, "map<string,string>"))).alias("k")).distinct().limit(limit + 1).collect()
+    # the outer form avoids an inferred filter that would parse every row twice
+    found = df.select(F.explode_outer(F.map_keys(F.from_json(col, "map<string,string>"))).alias("k")).filter("k IS NOT NULL")
+    keys = found.distinct().limit(limit + 1).collect()
     if len(keys) > limit:
         raise ValueError(f"more than {limit} distinct keys; pass the keys explicitly")
     return sorted(r["k"] for r in keys)
