@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import materialize
@@ -167,8 +168,8 @@ def stage_funnel(stages: list[tuple[str, DataFrame]]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("position"), F.lit(name).alias("stage"), "n")
         for i, (name, df) in enumerate(stages)
     ]
-    rows = reduce(DataFrame.unionByName, counts)
-    first = stages[0][1].agg(F.count(F.lit(1))).scalar()
-    return rows.select(
-        "position", "stage", "n", (first - F.col("n")).alias("dropped"), percent(first - F.col("n"), first, 1).alias("dropped_pct")
-    )
+    # one row per stage, so the window over all of them is tiny
+    first = F.first("n").over(W.orderBy("position"))
+    rows = reduce(DataFrame.unionByName, counts).withColumn("_first", first)
+    dropped = F.col("_first") - F.col("n")
+    return rows.select("position", "stage", "n", dropped.alias("dropped"), percent(dropped, F.col("_first"), 1).alias("dropped_pct"))
