@@ -8,6 +8,7 @@ from catalog.base import STAMP, query, table, view
 from catalog.quality import AUDIT_SQL
 from siltworks.functions.scratch import new_path
 from siltworks.operators.audit import audit
+from siltworks.operators.profile import top_words
 from siltworks.schema import REVIEWED
 from siltworks.sources import images as I
 from siltworks.sources import readers as R
@@ -97,3 +98,16 @@ def scan_image_dir(spark, sf):
 def image_data_uri(spark, sf):
     files = view(spark, sf, "media_paths").select("page_id", "path", F.encode("html", "UTF-8").alias("content"))
     return I.image_data_uri(files).drop("content")
+
+
+@query(
+    "literal_examples",
+    r"""SELECT row_number() OVER (ORDER BY n DESC, word) - 1 AS id, word AS text, 'unlabeled' AS label, 'text' AS modality, 'literal' AS source, CAST(NULL AS VARCHAR) AS collected_at
+        FROM (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS word FROM corpus)
+              GROUP BY word ORDER BY n DESC, word LIMIT 20)""",
+    ["corpus"],
+)
+def literal_examples(spark, sf):
+    """The twenty most frequent words as literal texts."""
+    words = top_words(view(spark, sf, "corpus", spread=True)).collect()
+    return R.literal_examples(spark, [r["word"] for r in words])
