@@ -95,7 +95,7 @@ VIEWS: dict[str, str] = {
         FROM pages""",
 }
 _DEPENDS = {"dirty": ["corpus"], "tagged": ["corpus"], "reviewed": ["corpus", "tagged"]}
-_TABLES = re.compile(r"\b(documents|labels|events|embeddings|pages|conversations|benchmark|lineitem)\b")
+_TABLES = re.compile(r"\b(FROM|JOIN)\s+(documents|labels|events|embeddings|pages|conversations|benchmark|lineitem)\b")
 
 
 def _dialect(sql: str, spark: bool) -> str:
@@ -136,9 +136,9 @@ def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> Data
 
 def view(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
     sql = with_views(f"SELECT * FROM {name}", [name], spark=True)
-    for base in set(_TABLES.findall(sql)):
-        table(spark, sf, base, spread and base == "documents").createOrReplaceTempView(base)
-    return spark.sql(sql)
+    used = {found[1] for found in _TABLES.findall(sql)}
+    frames = {base: table(spark, sf, base, spread and base == "documents") for base in used}
+    return spark.sql(_TABLES.sub(r"\1 {\2}", sql), **frames)
 
 
 def query(name: str, sql: str | None = None, views: list[str] | None = None):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -143,11 +143,12 @@ class TermFeatures:
         rows = tfidf_vocabulary(train, self.max_features, self.col).select("term", "idx", idf(n_docs, F.col("df")).alias("idf")).collect()
         self.vocab = sorted(((r["term"], r["idx"], r["idf"]) for r in rows), key=lambda r: r[1])
 
-    def _table(self, df: DataFrame, coefficients: list[list[float]] | None = None) -> DataFrame:
+    def table(self, spark: SparkSession, coefficients: list[list[float]] | None = None) -> DataFrame:
+        """The vocabulary as a table, optionally with one coefficient per class."""
         if coefficients is None:
-            return df.sparkSession.createDataFrame(self.vocab or [("", 0, 0.0)], "term string, idx int, idf double")
+            return spark.createDataFrame(self.vocab or [("", 0, 0.0)], "term string, idx int, idf double")
         rows = [(t, i, w, [row[i] for row in coefficients]) for t, i, w in self.vocab]
-        return df.sparkSession.createDataFrame(rows, "term string, idx int, idf double, coef array<double>", verifySchema=False)
+        return spark.createDataFrame(rows, "term string, idx int, idf double, coef array<double>", verifySchema=False)
 
     def _weighted(self, prepared: DataFrame, table: DataFrame) -> DataFrame:
         exploded = prepared.select("id", F.explode_outer("term_counts").alias("t")).select("id", "t.term", "t.tf")
@@ -156,7 +157,7 @@ class TermFeatures:
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
         rows = (
-            self._weighted(prepared, self._table(prepared))
+            self._weighted(prepared, self.table(prepared.sparkSession))
             .groupBy("id")
             .agg(
                 F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", F.col("w").alias("weight"))))).alias("es"),
@@ -174,7 +175,7 @@ class TermFeatures:
         """
         k = len(coefficients)
         sums = [F.sum(F.col("w") * F.coalesce(F.get("coef", F.lit(c)), F.lit(0.0))).alias(f"_m{c}") for c in range(k)]
-        rows = self._weighted(prepared, self._table(prepared, coefficients)).groupBy("id").agg(F.sum(F.col("w") * F.col("w")).alias("_ss"), *sums)
+        rows = self._weighted(prepared, self.table(prepared.sparkSession, coefficients)).groupBy("id").agg(F.sum(F.col("w") * F.col("w")).alias("_ss"), *sums)
         cells = [F.coalesce(F.try_divide(F.col(f"_m{c}"), F.sqrt("_ss")), F.lit(0.0)) + intercepts[c] for c in range(k)]
         return rows.select("id", F.array(*cells).alias("margins"))
 
