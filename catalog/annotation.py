@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import query, view
+from catalog.base import STAMP, query, view
 from siltworks.operators import annotate as N
 from siltworks.operators import quality as Q
 from siltworks.operators import review as V
@@ -363,3 +363,13 @@ def export_tasks(spark, sf):
 )
 def export_summary(spark, sf):
     return Q.export_summary(_mixed(spark, sf), ["good", "bad", "click"])
+
+
+@query(
+    "export_project",
+    f"SELECT '1.0' AS version, '{STAMP}' AS created_at, '{_TASK}' AS task, 'good,bad' AS classes, count(*) AS total_tasks FROM dirty",
+    ["dirty"],
+)
+def export_project(spark, sf):
+    header = Q.export_project(Q.export_tasks(view(spark, sf, "dirty"), CLASSES), CLASSES, _TASK, STAMP)
+    return header.withColumn("classes", F.concat_ws(",", "classes"))
