@@ -1,32 +1,24 @@
 """Shared storage for intermediate tables.
 
 Anything that must outlive an executor is written as a table, never kept only in
-executor memory.  The folder comes from ``spark.checkpoint.dir``; a temporary
-folder is used only when that is unset and the session runs in local mode.
+executor memory.  The folder comes from ``spark.checkpoint.dir``; where that is unset it
+lies in the session's warehouse folder.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local: dict[str, str] = {}
 _stored: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="siltworks-")
-    return _local[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/siltworks"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
