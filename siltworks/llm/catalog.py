@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
-from siltworks.llm import binary, bpe, chat, packing
+from siltworks.llm import binary, bpe, chat, lines, packing, quality
+from siltworks.llm.tables import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +103,16 @@ def op9_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    stats = store(quality.statistics(documents).drop("text"), "statistics")
+    return quality.judge(stats).select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
+
+
+@query("op10_fuzzy_lines")
+def op10_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
