@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
-from siltworks.llm import binary, bpe, chat, lines, packing, quality
+from siltworks.llm import binary, bpe, chat, lines, minhash, packing, quality
 from siltworks.llm.tables import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,9 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op10_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query("op2_minhash_classes")
+def op2_minhash_classes(spark: SparkSession, sf: str) -> DataFrame:
+    found = minhash.classes(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(F.col("doc").alias("doc_id"), "class_id", F.col("first").alias("kept"))
