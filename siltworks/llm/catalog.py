@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
-from siltworks.llm import binary, bpe, chat, lines, minhash, packing, quality
+from siltworks.llm import binary, bpe, chat, lines, minhash, packing, quality, suffixes
 from siltworks.llm.tables import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,9 @@ def op10_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
 def op2_minhash_classes(spark: SparkSession, sf: str) -> DataFrame:
     found = minhash.classes(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select(F.col("doc").alias("doc_id"), "class_id", F.col("first").alias("kept"))
+
+
+@query("op4_repeated_passages")
+def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    out = suffixes.remove_repeated(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
