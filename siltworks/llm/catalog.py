@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
-from siltworks.llm import binary, bpe, chat, lines, minhash, packing, quality, suffixes
+from siltworks.llm import binary, bpe, chat, lines, minhash, neighbours, packing, quality, suffixes, warc
 from siltworks.llm.tables import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,40 @@ def op2_minhash_classes(spark: SparkSession, sf: str) -> DataFrame:
 def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     out = suffixes.remove_repeated(table(spark, sf, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op7_merkle_audit",
+    r"""
+    WITH made AS (
+      SELECT page_id, 'WARC/1.0' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), 'null')
+             || '>' || e || 'WARC-Target-URI: ' || regexp_replace(coalesce(url, ''), '[\r\n]', ' ', 'g') || e || 'WARC-Payload-Digest: sha256:'
+             || sha256(coalesce(html, '')) || e || 'Content-Type: text/html' || e || 'Content-Length: ' || strlen(coalesce(html, '')) || e || e
+             || coalesce(html, '') || e || e AS record
+      FROM pages, (SELECT chr(13) || chr(10) AS e))
+    SELECT page_id, strlen(record) AS record_bytes, sha256(record) AS record_sha256,
+           CASE WHEN page_id % 101 = 7 THEN 'changed' ELSE 'intact' END AS status
+    FROM made""",
+)
+def op7_merkle_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Two replicas of all pages, one with damaged records; every record with what the audit says."""
+    records = store(warc.records(table(spark, sf, "pages").select("page_id", "url", "html")), "records")
+    paths = [new_path(spark, f"replica-{side}") for side in "ab"]
+    warc.write_archives(records, paths[0])
+    number = F.substr("name", F.lit(len("urn:page:") + 1)).try_cast("long")
+    hit = F.coalesce(number % 101 == 7, F.lit(False))
+    damaged = F.when(hit, F.overlay("record", F.lit("X"), F.lit(12))).otherwise(F.col("record"))
+    warc.write_archives(records.withColumn("record", damaged), paths[1])
+    left, right = (store(warc.read_archives(spark, path), "leaves") for path in paths)
+    found = store(warc.audit(left, right), "audit").select("archive", "seq", "status")
+    return left.join(found, ["archive", "seq"], "left").select(
+        number.alias("page_id"),
+        F.col("length").alias("record_bytes"),
+        F.col("digest").alias("record_sha256"),
+        F.coalesce("status", F.lit("intact")).alias("status"),
+    )
+
+
+@query("op8_hilbert_neighbours")
+def op8_hilbert_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), every=20, k=20)

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from siltworks.llm.tables import quoted, store
 
 CAPACITY = 2048
-#: pieces per ranking bucket; buckets of one length are ranked apart and then offset
-BUCKET_ROWS = 50_000
+#: pieces of one length are ranked in buckets, at least so many, and then offset
+BUCKETS, BUCKET_ROWS = 64, 50_000
 
 
 def cut_pieces(df: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -174,7 +174,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     found = {int(r["length"]): int(r["n"]) for r in counts.collect()}  # at most one row per length
     slots = _slots(plan_packing(found, capacity))
-    n_buckets = max(1, -(-sum(found.values()) // BUCKET_ROWS))
+    n_buckets = max(BUCKETS, -(-sum(found.values()) // BUCKET_ROWS))
     spread = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "text_hash"), F.lit(n_buckets)))
     sizes = spread.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     earlier = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)

@@ -267,3 +267,22 @@ def remove_repeated(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     held = fresh("_cut", out.columns)
     done = out.withColumn(held, cut(body.cast("binary"), F.col(spans), F.col(rid).isNull()))
     return done.select(*[quoted(c) for c in base.columns], *[F.col(held)[c].alias(c) for c in added])
+
+
+def drop_repeated(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with the repeated bytes taken out of its text, all its columns kept.
+
+    A character that loses some of its bytes goes as a whole.  A null text stays null.
+    """
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("string")
+    def readable(kept: pd.Series) -> pd.Series:
+        return pd.Series([raw.decode("utf-8", "ignore") for raw in kept], dtype=object)
+
+    names = [f"c{i}" for i in range(len(df.columns))]  # so that no column clashes with an added one
+    renamed = dict(zip(df.columns, names))
+    out = remove_repeated(df.toDF(*names), renamed[id], renamed[text])
+    body = F.col(renamed[text])
+    left = F.when(body.isNotNull() & (F.col("n_removed") > 0), readable("kept")).otherwise(body)
+    return out.select(*[(left if c == text else F.col(n)).alias(c) for c, n in renamed.items()])
