@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltworks.llm.tables import fresh, quoted, store
+from siltworks.llm.tables import fresh, positional, quoted, store
 
 SUPPORT = 0.75
 MIN_ROWS = 100
@@ -235,5 +235,7 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source", min_rows
 
 def quality_filter(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``df`` that are kept, with its columns."""
-    wide = store(statistics(df, text), "statistics")
-    return judge(wide, lang, source).filter("kept").select(*[quoted(c) for c in df.columns])
+    plain, renamed = positional(df)
+    wide = store(statistics(plain, renamed[text]), "statistics")
+    kept = judge(wide, renamed[lang], renamed[source]).filter("kept")
+    return kept.select(*[F.col(n).alias(c) for c, n in renamed.items()])

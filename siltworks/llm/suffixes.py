@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltworks.llm.minhash import mixed
-from siltworks.llm.tables import digest, discard, fresh, quoted, running_offsets, store
+from siltworks.llm.tables import digest, discard, fresh, positional, quoted, running_offsets, store
 
 WINDOW, GRAM = 100, 16
 #: bytes of text worked on at a time inside a task
@@ -280,9 +280,8 @@ def drop_repeated(df: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     def readable(kept: pd.Series) -> pd.Series:
         return pd.Series([raw.decode("utf-8", "ignore") for raw in kept], dtype=object)
 
-    names = [f"c{i}" for i in range(len(df.columns))]  # so that no column clashes with an added one
-    renamed = dict(zip(df.columns, names))
-    out = remove_repeated(df.toDF(*names), renamed[id], renamed[text])
+    plain, renamed = positional(df)
+    out = remove_repeated(plain, renamed[id], renamed[text])
     body = F.col(renamed[text])
     left = F.when(body.isNotNull() & (F.col("n_removed") > 0), readable("kept")).otherwise(body)
     return out.select(*[(left if c == text else F.col(n)).alias(c) for c, n in renamed.items()])

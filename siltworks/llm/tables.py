@@ -57,6 +57,15 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns called c0, c1, ... and the new name of each.
+
+    Operators that add columns of their own work on it, so that no name clashes.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
 def running_offsets(counts: DataFrame, part: str, item: str, size: str) -> DataFrame:
     """Add ``before``: the sum of ``size`` over all earlier (part, item) pairs.
 
