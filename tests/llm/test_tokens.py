@@ -43,12 +43,12 @@ def test_forgotten_chunks_are_encoded_again():
 
 
 def test_prefix_encoding_and_decoding():
-    codec, library = bpe.Codec(BYTES), Tokenizer.from_file(BYTES)
-    assert all(codec.pieces.whole[i] for i in codec.pieces.length)
+    encoder, decode, library = bpe.text_encoder(BYTES), bpe.decoder(BYTES), Tokenizer.from_file(BYTES)
+    assert all(encoder.merge_piece.whole[i] for i in encoder.merge_piece.length)
     for text in fuzz(4000) + ["a" * 5000, "ab" * 3000, "." * 999] + [t for _, t in awkward_texts() if t]:
         ids = library.encode(text, add_special_tokens=False).ids
-        assert codec.encode(text) == packed(ids), repr(text)
-        assert codec.decode(packed(ids)) == library.decode(ids, skip_special_tokens=False)
+        assert encoder.encode(text) == packed(ids), repr(text)
+        assert decode(packed(ids)) == library.decode(ids, skip_special_tokens=False)
 
 
 def test_bpe_tables(spark):
