@@ -59,6 +59,18 @@ def label_batches(spark, sf):
     return _batches(spark, sf).select("batch", F.size("items").cast("bigint").alias("n"), "prompt")
 
 
+@query(
+    "label_batches_short",
+    f"""WITH {_TODO}, {_RANKED}
+        SELECT k // 10 AS batch, {_HEAD} || string_agg(CAST(k % 10 + 1 AS VARCHAR) || '. ' || substr(text, 1, 300), chr(10) ORDER BY k) AS prompt
+        FROM r GROUP BY k // 10""",
+    ["corpus"],
+)
+def label_batches_short(spark, sf):
+    todo, _ = N.split_unlabeled(view(spark, sf, "corpus"))
+    return N.label_batches(todo, CLASSES, _TASK, max_chars=300).select("batch", "prompt")
+
+
 def _reply_items(x):
     """A made-up answer per item, with the usual defects."""
     i = x["id"]

@@ -25,7 +25,7 @@ def align_by_id(modalities: dict[str, DataFrame], key: str = "id") -> DataFrame:
         solo = F.when(F.col(key).isNull(), F.concat(F.lit(name), F.monotonically_increasing_id().cast("string")))
         packed.append(df.select(key, solo.alias("_solo"), cells.alias(name)))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
-    one = [F.min(name).alias(name) for name in modalities]
+    one = [F.first(name, ignorenulls=True).alias(name) for name in modalities]
     counts = [F.count(name).alias(f"_n_{name}") for name in modalities]
     rows = union.groupBy(key, "_solo").agg(*one, *counts)
     columns, flags = [F.col(key)], []

@@ -27,14 +27,19 @@ from siltworks.functions.text import is_blank
 from siltworks.schema import UNLABELED, has
 
 
+def _exact(name: str) -> Column:
+    """A column by its exact name, also with a dot in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def missing_by_column(df: DataFrame) -> DataFrame:
     """NULL count and percentage of every column that has any."""
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(_exact(c).isNull()).alias(c) for c in df.columns])
     return _unpivot_missing(counts, df.columns)
 
 
 def _unpivot_missing(counts: DataFrame, columns: list[str]) -> DataFrame:
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), _exact(c).alias("n")) for c in columns])
     return (
         counts.select("_rows", F.explode(cells).alias("c"))
         .filter("c.n > 0")
@@ -173,10 +178,10 @@ def audit(df: DataFrame, text: str = "text") -> DataFrame:
     others = [c for c in df.columns if c not in (text, "label")]
     if has(df, "label"):
         by_label = df.groupBy("label").agg(
-            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"_m_{c}") for c in others]
+            F.count(F.lit(1)).alias("n"), *[F.count_if(_exact(c).isNull()).alias(f"_m_{c}") for c in others]
         )
         by_label = materialize(by_label, "labels")
-        sums = [(c, F.sum(f"_m_{c}")) for c in others]
+        sums = [(c, F.sum(_exact(f"_m_{c}"))) for c in others]
         sums.append(("label", F.sum(F.when(F.col("label").isNull(), F.col("n")).otherwise(0))))
         parts.append(by_label.agg(F.array(*[share("missing", c, s) for c, s in sums]).alias("r")))
         classes = _class_rows(by_label.select("label", "n"))
@@ -196,7 +201,7 @@ def audit(df: DataFrame, text: str = "text") -> DataFrame:
         )
     elif others:
         total = F.count(F.lit(1))
-        cells = [(c, F.count_if(F.col(c).isNull())) for c in others]
+        cells = [(c, F.count_if(_exact(c).isNull())) for c in others]
         parts.append(
             df.agg(F.array(*[_row("missing", c, n, percent(n, total), None, severity_of(percent(n, total), 10.0, 2.0, 0.0)) for c, n in cells]).alias("r"))
         )

@@ -61,17 +61,16 @@ def keep_winners(df: DataFrame, groups: DataFrame, key: str, on: list[str], limi
     """The rows of ``df`` that won their group; ``on`` identifies a row.
 
     ``groups`` is a stored table (fp, n, *on) with the winner of every key in ``df``.
-    Only keys with copies can lose rows.  When those are few (counted, some 50 bytes each)
-    they are broadcast and whole rows stay where they are, even if one key has most of the
-    rows.  Otherwise the winners decide in a semi join on ``on``.
+    A row stays when its key has no copies, or when it agrees with the winner in every
+    column of ``on``, NULLs included.  ``limit`` only chooses the kind of join: so many
+    winners (counted, some 50 bytes each) are broadcast and whole rows stay where they
+    are, even if one key has most of them; more are joined by a shuffle.
     """
     repeated = groups.filter("n > 1")
-    if repeated.count() > limit:
-        return df.join(groups.select(*on), on, "left_semi")
     winners = repeated.select(F.coalesce("fp", F.lit(b"")).alias("_fp"), F.struct(*on).alias("_win"))
     keyed = df.withColumn("_fp", F.coalesce(fingerprint(F.col(key)), F.lit(b"")))
-    joined = keyed.join(F.broadcast(winners), "_fp", "left")
-    return joined.filter(F.col("_win").isNull() | (F.col("_win") == F.struct(*on))).select(*df.columns)
+    joined = keyed.join(winners if repeated.count() > limit else F.broadcast(winners), "_fp", "left")
+    return joined.filter(F.col("_win").isNull() | F.col("_win").eqNullSafe(F.struct(*on))).select(*df.columns)
 
 
 def keep_first(df: DataFrame, groups: DataFrame, key: str, order: str, limit: int = REPEATED_LIMIT) -> DataFrame:
@@ -92,7 +91,8 @@ def combine_sources(dfs: list[DataFrame], key: str = "text", id: str = "id") ->
     """Union all sources, then keep the first copy of every text.
 
     "First" is the earliest source in the list, then the smallest id.  New ids
-    (``id * k + position``) keep rows of different sources apart.
+    (``id * k + position``) keep rows of different sources apart; where that leaves 64
+    bits, as with hashed ids, the new id is a hash of source position and id.
     """
     k = len(dfs)
     placed = [df.withColumn("_pos", F.lit(i)) for i, df in enumerate(dfs)]
@@ -104,7 +104,9 @@ def combine_sources(dfs: list[DataFrame], key: str = "text", id: str = "id") ->
         .select("fp", "n", F.col(f"_at.{id}").alias(id), F.col("_at._pos").alias("_pos"))
     )
     kept = keep_winners(union, materialize(first, "text-groups"), key, [id, "_pos"])
-    return kept.withColumn(id, F.col(id) * k + F.col("_pos")).drop("_pos")
+    spaced = F.try_add(F.try_multiply(F.col(id), F.lit(k)), F.col("_pos").cast("long"))
+    hashed = F.when(F.col(id).isNotNull(), F.xxhash64("_pos", id))
+    return kept.withColumn(id, F.coalesce(spaced, hashed)).drop("_pos")
 
 
 def source_kind(df: DataFrame, col: str = "source") -> DataFrame:

@@ -48,16 +48,24 @@ def _local_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:(//)?(?=/)", "")
 
 
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    """The folders that a path, URI or glob stands for, without scheme and host."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(path) or []
+    return [system.makeQualified(status.getPath()).toUri().getPath().rstrip("/") for status in found]
+
+
 def scan_image_dir(spark: SparkSession, root: str, source: str, collected_at: str | None = None) -> DataFrame:
-    """List an image folder; only paths are read, never the file bytes."""
+    """List an image folder given as a path, URI or glob; only paths are read, never the file bytes."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = root.rstrip("/")
-    inside = listing.select(_local_path(F.col("path")).alias("path")).filter(
-        F.col("path").rlike(rf"/({'|'.join(SPLITS)})/(images/)?[^/]+$")
-    )
-    direct = F.substring(F.col("path"), F.locate(base, "path") + len(base), 1_000_000)
-    inside = inside.filter(direct.rlike(rf"^/({'|'.join(SPLITS)})/(images/)?[^/]+$"))
-    return image_rows(inside, source, collected_at=collected_at)
+    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+    inside = F.lit(False)
+    for folder in _folders(spark, root):
+        rest = F.substr(plain, F.lit(len(folder) + 1))
+        inside = inside | (plain.startswith(folder) & rest.rlike(rf"^/({'|'.join(SPLITS)})/(images/)?[^/]+$"))
+    listed = listing.filter(inside).select(_local_path(F.col("path")).alias("path"))
+    return image_rows(listed, source, collected_at=collected_at)
 
 
 def scan_files(spark: SparkSession, root: str, pattern: str, modality: str, source: str, collected_at: str | None = None) -> DataFrame:

@@ -54,10 +54,82 @@ def test_few_repeated_keys_leave_rows_in_place(spark, sf):
     groups = stored_groups(df)
     near, far = keep_first(df, groups, "text", "id"), keep_first(df, groups, "text", "id", limit=0)
     assert "Exchange hashpartitioning" not in plan(near).split("Union")[0]
-    assert "LeftSemi" in plan(far)
+    assert "BroadcastHashJoin" in plan(near) and near.count() == far.count()
     assert {r["id"] for r in near.collect()} == {r["id"] for r in far.collect()}
 
 
+def test_both_joins_keep_the_same_rows(spark):
+    from siltworks.operators.collect import keep_first
+    from siltworks.functions.stats import stored_groups
+
+    rows = [(None, "solo"), (1, "a"), (0, "b"), (1, "b"), (None, "a"), (2, None), (None, None), (3, "c"), (3, "c")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    groups = stored_groups(df)
+    sides = [sorted(map(repr, keep_first(df, groups, "text", "id", limit=n).collect())) for n in (0, 100)]
+    assert sides[0] == sides[1]
+    assert (None, "solo") in [tuple(r) for r in keep_first(df, groups, "text", "id").collect()]
+    assert (1, "b") not in [tuple(r) for r in keep_first(df, groups, "text", "id").collect()]
+
+
+def test_pooling_hashed_ids(spark):
+    from siltworks.operators.collect import combine_sources
+    from siltworks.sources.images import image_rows
+
+    paths = spark.createDataFrame([(f"/d/train/{i}.jpg",) for i in range(50)], "path string")
+    images = image_rows(paths, "local", collected_at="now")
+    texts = images.withColumns({"id": images["id"] * 0 + 7, "text": images["text"]}).limit(1)
+    pooled = combine_sources([images, texts, images.limit(0)]).collect()
+    assert len(pooled) == 50 and len({r["id"] for r in pooled}) == 50
+
+
+def test_image_folders_by_any_path(spark, tmp_path, monkeypatch):
+    from siltworks.sources.images import scan_image_dir
+
+    for name in ("train/images/a.jpg", "valid/b.png", "other/c.jpg"):
+        file = tmp_path / "d" / "img" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"x")
+    root = f"{tmp_path}/d/img"
+    for path in (root, root + "/", f"file://{root}", f"file:{root}", f"{tmp_path}/./d/img", f"{tmp_path}/*/img"):
+        assert scan_image_dir(spark, path, "local").count() == 2, path
+
+
+def test_text_prediction_keeps_rows_with_null_and_repeated_ids(spark):
+    from siltworks.operators.features import TermFeatures
+    from siltworks.operators.models import predict, train
+
+    features = TermFeatures()
+    labeled = spark.createDataFrame([(i, t, t.split()[0]) for i, t in enumerate(["good fine", "bad poor"] * 6)], "id long, text string, label string")
+    model = train(features.prepare(labeled), features)
+    asked = spark.createDataFrame([(None, "good fine"), (1, "bad poor"), (1, "good fine"), (2, None)], "id long, text string")
+    got = [(r["id"], r["text"], r["predicted_label"]) for r in predict(model, asked).collect()]
+    assert len(got) == 4
+    assert {(None, "good fine", "good"), (1, "bad poor", "bad"), (1, "good fine", "good")} <= set(got)
+
+
+def test_map_columns_align(spark):
+    from siltworks.operators.align import align_by_id
+
+    a = spark.sql("SELECT 1L AS id, map('k', 1) AS m")
+    assert align_by_id({"a": a, "b": a}).first()["b_m"] == {"k": 1}
+
+
+def test_audit_takes_dotted_names(spark):
+    from siltworks.operators.audit import missing_by_column
+
+    df = spark.createDataFrame([(1, None), (2, "x")], "id long, `a.b` string")
+    assert [r["column"] for r in missing_by_column(df).collect()] == ["a.b"]
+
+
+def test_rows_nobody_labels_stay_unlabeled(spark):
+    from siltworks.operators.annotate import auto_label
+    from tests.conftest import unified
+
+    df = unified(spark, ["one", "two"])
+    out = auto_label(df, ["x", "y"], {"image": lambda texts, classes: [("x", 1.0)] * len(texts)})
+    assert {r["label"] for r in out.collect()} == {"unlabeled"}
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf):
     from siltworks.operators.annotate import split_unlabeled
     from siltworks.sources.readers import read_examples
