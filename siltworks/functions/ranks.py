@@ -3,7 +3,8 @@
 Rows are ordered by ``md5(id:salt)``.  A plain ``row_number`` over that order would
 need one task; here the hash prefix spreads rows evenly over many buckets (whatever
 the key distribution), only bucket *counts* are ranked globally, and rows are ranked
-inside their own bucket.
+inside their own bucket.  ``digits`` hexadecimal digits make 16**digits buckets: the
+default suits tables up to some 1e11 rows; the ranks do not depend on it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def shuffle_key(id: str, salt: int | str) -> Column:
     return F.md5(F.concat_ws(":", F.col(id).cast("string"), F.lit(str(salt))).cast("binary"))
 
 
-def hash_rank(df: DataFrame, id: str = "id", salt: int | str = 42, by: tuple[str, ...] = (), digits: int = 3) -> DataFrame:
+def hash_rank(df: DataFrame, id: str = "id", salt: int | str = 42, by: tuple[str, ...] = (), digits: int = 4) -> DataFrame:
     """Add ``rank`` (1-based) within ``by`` in hash order; equals a plain row_number."""
     keyed = df.withColumn("_h", shuffle_key(id, salt)).withColumn("_b", F.substring("_h", 1, digits))
     counts = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -41,7 +42,7 @@ def hash_rank(df: DataFrame, id: str = "id", salt: int | str = 42, by: tuple[str
     )
 
 
-def hash_cuts(df: DataFrame, wanted: DataFrame, by: str, id: str = "id", salt: int | str = 42, digits: int = 3) -> DataFrame:
+def hash_cuts(df: DataFrame, wanted: DataFrame, by: str, id: str = "id", salt: int | str = 42, digits: int = 4) -> DataFrame:
     """The (hash, id) found at each wanted rank.
 
     ``wanted`` has (by, name, position).  Only the one bucket that holds a wanted rank

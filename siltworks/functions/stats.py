@@ -128,11 +128,10 @@ def outside_z(length: Column, profile: Column, k: float = 3.0) -> Column:
 def exact_quantiles(df: DataFrame, column: str, probs: list[float], bound: int = 1_000_000, accuracy: int = 10000) -> list[float | None]:
     """Exact linear-interpolated quantiles of any numeric column.
 
-    Up to ``bound`` values the built-in exact percentile does it.  Beyond that, rounds of
-    ``percentile_approx`` (whose rank error is at most rows/accuracy) narrow an interval
-    around every wanted order statistic until few values are left, and only those are
-    ranked.  Equal values are merged before they are shuffled, so ties cost nothing.
-    Only one-row results reach the driver.
+    Up to ``bound`` values the built-in exact percentile does it.  Beyond that every
+    wanted order statistic is closed in by counting values in ``accuracy`` equal steps of an
+    interval and going on in the step that holds it, until one value is left; a heavy value
+    among many others costs nothing extra.  Only the counts per step reach the driver.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
     head = values.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
@@ -140,36 +139,31 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], bound: int =
         return [None] * len(probs)
     if head["n"] <= bound:
         return list(values.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
-    return [_bracketed_quantile(values, p, head, bound, accuracy) for p in probs]
-
-
-def _bracketed_quantile(values: DataFrame, p: float, head, bound: int, accuracy: int) -> float:
-    position = p * (head["n"] - 1)
-    left, right = math.floor(position), math.ceil(position)
-    low, high, below, rows = head["low"], head["high"], 0, head["n"]
-    step = 2.0 / accuracy
-    while rows > bound and low < high:
-        inside = F.when(F.col("v").between(low, high), F.col("v"))
-        edges = [max(0.0, (left - below) / rows - step), min(1.0, (right - below + 1) / rows + step)]
-        new_low, new_high = values.agg(F.percentile_approx(inside, edges, accuracy)).first()[0]
-        new_low = low if edges[0] == 0.0 else new_low
-        new_high = high if edges[1] == 1.0 else new_high
-        counted = values.agg(
-            F.count_if(F.col("v") < new_low).alias("below"),
-            F.count_if(F.col("v").between(new_low, new_high)).alias("rows"),
-        ).first()
-        if not counted["below"] <= left <= right < counted["below"] + counted["rows"]:
-            break  # keep the last interval that is known to hold both ranks
-        shrunk = counted["rows"] <= rows / 2
-        low, high, below, rows = new_low, new_high, counted["below"], counted["rows"]
-        if not shrunk:
-            break  # what is left are ties, which the grouping below merges
-    merged = values.filter(F.col("v").between(low, high)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    upto = merged.select("v", F.sum("c").over(W.orderBy("v")).alias("upto"))
-    a, b = upto.agg(
-        F.min(F.when(F.col("upto") > left - below, F.col("v"))), F.min(F.when(F.col("upto") > right - below, F.col("v")))
-    ).first()
-    return a + (b - a) * (position - left)
+    found: dict[int, float] = {}
+    for p in probs:
+        position = p * (head["n"] - 1)
+        for rank in (math.floor(position), math.ceil(position)):
+            if rank not in found:
+                found[rank] = _order_statistic(values, rank, head["low"], head["high"], accuracy)
+    at = [p * (head["n"] - 1) for p in probs]
+    return [found[math.floor(x)] + (found[math.ceil(x)] - found[math.floor(x)]) * (x - math.floor(x)) for x in at]
+
+
+def _order_statistic(values: DataFrame, rank: int, low: float, high: float, bins: int) -> float:
+    """The value with ``rank`` smaller or equal ones before it, between ``low`` and ``high``."""
+    below = 0
+    while low < high:
+        width = high / bins - low / bins
+        # values too close together to be divided are counted one by one
+        step = F.least(F.floor(F.col("v") / width - low / width), F.lit(bins - 1)) if width > 1e-300 else F.col("v")
+        inside = values.filter(F.col("v").between(low, high))
+        counts = inside.groupBy(step.alias("step")).agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        for row in sorted(counts.collect(), key=lambda r: r["low"]):
+            if below + row["n"] > rank:
+                low, high = row["low"], row["high"]
+                break
+            below += row["n"]
+    return low
 
 
 def running_totals(df: DataFrame, order: str, columns: list[str], block: int = 65536) -> DataFrame:

@@ -97,3 +97,10 @@ def test_blank_covers_unicode_whitespace(spark):
 def test_percent_of_nothing_is_null(spark):
     assert spark.range(1).select(stats.percent(F.lit(0), F.lit(0))).first()[0] is None
     assert math.isclose(spark.range(1).select(stats.percent(F.lit(1), F.lit(3))).first()[0], 33.33)
+
+
+def test_one_heavy_value_among_many(spark):
+    values = [5.0] * 400 + [i / 997 for i in range(5000)] + [1e300, -1e300, 5.0 + 1e-15]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    probs = [0.0, 0.1, 0.5, 0.93, 1.0]
+    assert stats.exact_quantiles(df, "x", probs, bound=10, accuracy=64) == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
