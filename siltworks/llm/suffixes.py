@@ -11,8 +11,8 @@ The strings are put into ever finer buckets as in suffix sorting:
   only q-gram buckets with several entries can hold repeated strings, and consecutive
   strings mostly share an entry: one entry per some forty bytes is shuffled, not every
   offset.
-* Entries of a bucket with equal surroundings are collapsed to the earliest.  The others
-  are refined: their strings are sorted by bucket and the identifiers of later offsets up
+* Entries of a bucket with equal surroundings are collapsed to the earliest.  Of the others
+  the bytes are fetched and refined: their strings are sorted by bucket and the identifiers of later offsets up
   to the full length, and in each final bucket everything but the earliest is repeated.
 
 Copies of whole texts are collapsed before that.  Defined results: a null text is empty;
@@ -40,6 +40,8 @@ WINDOW, GRAM = 100, 16
 CHUNK = 1 << 20
 #: bytes of surroundings refined together
 BUCKET_BYTES = 8 << 20
+#: buckets with more unequal entries are refined window by window over all tasks
+HOT_ENTRIES = 50_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 22) - 1)
 
@@ -130,7 +132,10 @@ def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(bucket, rid, place, around): the entries whose bucket occurs elsewhere too."""
+    """(bucket, rid, place, size, same): the entries whose bucket occurs elsewhere too, with
+    the extent of their windows in the text and a hash of those bytes."""
+    import xxhash
+
     for batch in batches:
         rid = batch["rid"].to_numpy()
         lists = [np.asarray(x, np.int64) for x in batch["buckets"]]
@@ -139,25 +144,46 @@ def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for data, ids, rows, place, at, n in entries(batch["body"].tolist()):
             mine = mixed(ids + salt[rows])
             hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, mine), len(wanted) - 1)] == mine)
-            raw = data.tobytes()
-            spans = zip(at[hit].tolist(), (at[hit] + n[hit] + WINDOW - 1).tolist())
+            raw, size = data.tobytes(), n[hit] + WINDOW - 1
+            same = [xxhash.xxh64_intdigest(raw[a : a + k]) for a, k in zip(at[hit].tolist(), size.tolist())]
             yield pd.DataFrame(
-                {"bucket": _signed(ids[hit]), "rid": rid[rows[hit]], "place": place[hit], "around": [raw[a:b] for a, b in spans]}
+                {"bucket": _signed(ids[hit]), "rid": rid[rows[hit]], "place": place[hit], "size": size, "same": np.array(same, np.uint64).view(np.int64)}
             )
 
 
-def _refined(group: pd.DataFrame) -> pd.DataFrame:
-    """(rid, start, stop): bytes of windows that equal an earlier window of the same bucket."""
-    group = group.sort_values(["rid", "place"], kind="stable")
-    around = group["around"].tolist()
+def _windows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, place in it, identifier) of every window of the rows' surroundings."""
+    around = rows["around"].tolist()
     sizes = np.array([len(x) for x in around])
-    data = np.frombuffer(b"".join(around), np.uint8)
-    ids = identifiers(data, WINDOW)
+    ids = identifiers(np.frombuffer(b"".join(around), np.uint8), WINDOW)
     windows = sizes - WINDOW + 1
-    entry = np.repeat(np.arange(len(group)), windows)
+    entry = np.repeat(np.arange(len(rows)), windows)
     inside = np.arange(len(entry)) - np.repeat(np.cumsum(windows) - windows, windows)
     full = ids[np.repeat(np.cumsum(sizes) - sizes, windows) + inside]
-    full = mixed(full + mixed(group["bucket"].to_numpy().view(np.uint64))[entry])
+    return entry, inside, mixed(full + mixed(rows["bucket"].to_numpy().view(np.uint64))[entry])
+
+
+def _single_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), 2000):
+            rows = batch.iloc[start : start + 2000]
+            entry, inside, full = _windows(rows)
+            place = rows["place"].to_numpy()[entry] + inside
+            yield pd.DataFrame({"bucket": rows["bucket"].to_numpy()[entry], "full": _signed(full), "rid": rows["rid"].to_numpy()[entry], "start": place})
+
+
+def _spread(rest: DataFrame) -> DataFrame:
+    """(rid, start, stop) like ``_refined``, with the windows of a bucket dealt over all tasks."""
+    rows = store(rest.mapInPandas(_single_windows, "bucket long, full long, rid long, start long"), "windows")
+    heads = rows.groupBy("bucket", "full").agg(F.min(F.struct("rid", "start")).alias("head"))
+    again = rows.join(heads, ["bucket", "full"]).filter(F.struct("rid", "start") != F.col("head"))
+    return again.select("rid", "start", (F.col("start") + WINDOW).alias("stop"))
+
+
+def _refined(group: pd.DataFrame) -> pd.DataFrame:
+    """(rid, start, stop): bytes of windows that equal an earlier window of the same bucket."""
+    group = group.sort_values(["rid", "place"], kind="stable")
+    entry, inside, full = _windows(group)
     order = np.argsort(full, kind="stable")  # windows of a final bucket stay in corpus order
     again = np.zeros(len(full), bool)
     again[order[1:]] = full[order[1:]] == full[order[:-1]]
@@ -197,28 +223,36 @@ def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     copies of a listed one.
     """
     firsts = store(first_copies(df, id, text), "documents")
-    found = store(_texts(df, firsts, id, text).mapInPandas(_buckets, "bucket long, rid long, n long"), "buckets")
+    found = store(_texts(df, firsts, id, text).mapInPandas(_buckets, "bucket long, rid long, n long"), "buckets", sweep=True)
     shared = found.groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket")
     lists = found.join(shared, "bucket", "left_semi").groupBy("rid").agg(F.collect_set("bucket").alias("buckets"))
     wanted = store(firsts.join(lists, "rid"), "bucket-lists")
     discard(found)
     rows = _texts(df, wanted, id, text, "buckets")
-    around = store(rows.mapInPandas(_surroundings, "bucket long, rid long, place long, around binary"), "surroundings")
+    around = rows.mapInPandas(_surroundings, "bucket long, rid long, place long, size long, same long")
+    around = store(around, "surroundings", sweep=True)
     discard(wanted)
     # equal surroundings: all but the earliest are repeated from end to end
-    named = around.withColumn("a1", F.xxhash64("around")).withColumn("a2", F.xxhash64(F.lit(7), "around"))
-    heads = named.groupBy("bucket", "a1", "a2").agg(F.min(F.struct("rid", "place")).alias("head"))
-    heads = store(heads, "heads")
-    tagged = named.join(heads, ["bucket", "a1", "a2"])
     at = F.struct("rid", "place")
-    whole = tagged.filter(at != F.col("head")).select(
-        "rid", F.col("place").alias("start"), (F.col("place") + F.octet_length("around")).cast("long").alias("stop")
-    )
-    single = heads.groupBy("bucket").count().filter("count > 1").select("bucket")
-    rest = tagged.filter(at == F.col("head")).join(single, "bucket", "left_semi").select("bucket", "rid", "place", "around")
-    rest = store(rest, "unequal")
+    heads = store(around.groupBy("bucket", "same").agg(F.min(F.struct("rid", "place", "size")).alias("head")), "heads")
+    whole = around.join(heads, ["bucket", "same"]).filter(at != F.struct("head.rid", "head.place"))
+    whole = store(whole.select("rid", F.col("place").alias("start"), (F.col("place") + F.col("size")).alias("stop")), "whole-spans")
+    discard(around)
+    # only now the bytes of the others are fetched
+    several = heads.groupBy("bucket").count().filter("count > 1").select("bucket")
+    unequal = heads.join(several, "bucket", "left_semi").select("bucket", "head.*")
+    lists = unequal.groupBy("rid").agg(F.collect_list(F.struct("bucket", "place", "size")).alias("entries"))
+    texts = _texts(df, store(firsts.join(lists, "rid"), "unequal"), id, text, "entries")
+    parts = texts.select("rid", "body", F.explode("entries").alias("e"))
+    bytes_at = F.substr("body", (F.col("e.place") + 1).cast("int"), F.col("e.size").cast("int"))
+    rest = parts.select(F.col("e.bucket").alias("bucket"), "rid", F.col("e.place").alias("place"), bytes_at.alias("around"))
+    rest = store(rest, "unequal-bytes", sweep=True)
     size = rest.agg(F.sum(F.octet_length("around"))).first()[0] or 0
     groups = max(1, -(-size // BUCKET_BYTES))
+    hot = store(rest.groupBy("bucket").count().filter(F.col("count") > HOT_ENTRIES).select("bucket"), "hot-buckets")
+    if not hot.isEmpty():
+        whole = whole.union(_spread(rest.join(hot, "bucket", "left_semi")))
+        rest = rest.join(hot, "bucket", "left_anti")
     parts = rest.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(groups))).groupBy("part")
     refined = parts.applyInPandas(_refined, "rid long, start long, stop long")
     spans = whole.union(refined).groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
@@ -256,7 +290,7 @@ def remove_repeated(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     added = ["n_bytes", "n_removed", "n_spans", "kept"]
     base = df.drop(*[c for c in df.columns if c.lower() in added])
     doc, th, rid, spans = (fresh(c, base.columns) for c in ("_doc", "_th", "_rid", "_spans"))
-    listed = store(repeated_spans(df, id, text), "spans").toDF(doc, th, rid, spans)
+    listed = store(repeated_spans(df, id, text), "spans", sweep=True).toDF(doc, th, rid, spans)
     body = F.coalesce(quoted(text), F.lit(""))
     out = base.join(listed, quoted(id).eqNullSafe(F.col(doc)) & (F.xxhash64(body) == F.col(th)), "left")
 

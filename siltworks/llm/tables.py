@@ -4,28 +4,26 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, sweep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The lineage ends here, so shuffle files of the jobs before it are no longer needed;
-    collecting the driver's garbage lets Spark delete them.
+    The lineage ends here, so shuffle files of the jobs before it are no longer needed.
+    ``sweep``, for jobs that shuffled texts, collects the driver's garbage, which lets Spark
+    delete them at once.
     """
-    path = new_path(df.sparkSession, name)
+    spark, schema = df.sparkSession, df.schema
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return reopen(df.sparkSession, path, df)
-
-
-def reopen(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    schema = like.schema
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if sweep:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
