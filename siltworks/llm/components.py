@@ -59,32 +59,45 @@ def bucket_links(
     id: str,
     close: Callable[[str, str], Column],
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    rank: str | None = None,
 ) -> DataFrame:
     """(a, b): links that connect all ids which some chain of verified pairs connects.
 
     A pair counts when both ids share a bucket, ``close`` holds for their rows (it gets the
     prefixes of both rows' columns) and ``verify`` lets the pair through.  Not all pairs
-    of a bucket are written out: first every row is paired with the first of its bucket;
+    of a bucket are written out: first every row is paired with the first of its bucket
+    (by ``rank``, then ``id``; best is one that is likely to be linked to most others);
     buckets that those links make one component hold nothing more to find, and of the
     others only pairs between different components are tested, inside the join.  ``rows``
-    must be a stored table with one row per bucket and id.
+    has one row per bucket and id and is computed twice; ids alone in their bucket go first.
     """
-    others = [c for c in rows.columns if c not in bucket]
-    row = lambda p: F.struct(F.col(id).alias("id"), *[F.col(c) for c in others if c != id]).alias(p)
-    heads = rows.groupBy(*bucket).agg(F.min(row("_")).alias("a"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    paired = rows.select(*bucket, row("b")).join(heads, bucket)
+    first = [F.col(rank)] if rank else []
+    others = [F.col(c) for c in rows.columns if c not in (*bucket, id, rank)]
+    row = lambda p: F.struct(*first, F.col(id).alias("id"), *others).alias(p)
+    # a plain minimum is aggregated by hashing, that of a struct by sorting
+    head = F.min(row("_")) if first or others else F.struct(F.min(id).alias("id"))
+    several = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*bucket)
+    shared = store(rows.join(several.hint("shuffle_hash"), bucket, "left_semi"), "shared-buckets", sweep=True)
+    heads = shared.groupBy(*bucket).agg(head.alias("a"))
+    paired = shared.select(*bucket, row("b")).join(heads, bucket)
     near = paired.filter((F.col("a.id") != F.col("b.id")) & close("a.", "b."))
-    first = store(verify(near.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()), "star-links")
-    roots = store(components(first, "a", "b"), "star-roots")
-    shared = rows.join(heads.select(*bucket), bucket, "left_semi")
+    star = store(verify(near.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()), "star-links", sweep=True)
+    roots = store(components(star, "a", "b"), "star-roots")
     tagged = shared.join(roots.withColumnRenamed("id", id), id, "left").withColumn("root", F.coalesce("root", F.col(id)))
+    tagged = store(tagged, "tagged-buckets")
     mixed = tagged.groupBy(*bucket).agg(F.min("root").alias("_x"), F.max("root").alias("_y")).filter("_x < _y").select(*bucket)
-    left = store(tagged.join(mixed, bucket, "left_semi"), "mixed-buckets")
-    side = lambda p: left.select(*[F.col(c).alias(f"{p}_{c}") for c in bucket], F.col("root").alias(f"{p}_root"), row(p))
+    left = tagged.join(mixed, bucket, "left_semi").withColumn("_at", F.xxhash64(*bucket))
+    left = store(left, "mixed-buckets", sweep=True)
+    shared_by = left.groupBy(id).agg(F.collect_set("_at").alias("_all"))
+    left = left.join(shared_by, id)
+    own = [*bucket, "root", "_at", "_all"]
+    side = lambda p: left.select(*[F.col(c).alias(f"{p}_{c}") for c in own], row(p))
     same = F.lit(True)
     for c in bucket:
         same = same & (F.col(f"a_{c}") == F.col(f"b_{c}"))
-    cross = side("a").join(side("b"), same & (F.col("a_root") < F.col("b_root")) & close("a.", "b."))
+    # a pair comes out of the first bucket that both are in, not of all
+    once = F.array_min(F.array_intersect("a__all", "b__all")) == F.col("a__at")
+    cross = side("a").join(side("b"), same & (F.col("a_root") < F.col("b_root")) & close("a.", "b.") & once)
     ordered = cross.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
-    second = store(verify(ordered), "cross-links")
-    return first.select("a", "b").union(second.select("a", "b"))
+    rest = store(verify(ordered), "cross-links", sweep=True)
+    return star.select("a", "b").union(rest.select("a", "b"))

@@ -33,8 +33,9 @@ from siltworks.llm.tables import discard, fresh, quoted, store
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-#: differing register bits, of 192, that a pair may have: 19 are expected at similarity 0.8
-BITS = 48
+#: registers that may differ in their two bits: 28.8 of 192 are expected at similarity 0.8
+DIFFERING = 49
+_PLANES = [f"s{k}" for k in range(6)]
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]  # fixed mixing constants
 _S27, _S30, _S31 = np.uint64(27), np.uint64(30), np.uint64(31)
@@ -89,8 +90,10 @@ def bands(winner: np.ndarray) -> np.ndarray:
 
 
 def register_bits(winner: np.ndarray) -> np.ndarray:
-    bits = (mixed(winner + _C[1]) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits).view(np.int64)
+    """Two bits of every register: three words of first bits, then three of second bits."""
+    scrambled = mixed(winner + _C[1])
+    planes = [((scrambled >> np.uint64(k)) & np.uint64(1)).astype(np.uint8) for k in range(2)]
+    return np.packbits(np.concatenate(planes)).view(np.int64)
 
 
 def _words(known, text: str | None) -> tuple[list[str], np.ndarray]:
@@ -107,7 +110,7 @@ def _known():
 
 
 def signatures(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc, th, content, n, keys, s0, s1, s2) per row; ``doc`` is the id as text."""
+    """(doc, th, content, n, keys, s0 ... s5) per row; ``doc`` is the id as text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -124,12 +127,12 @@ def signatures(df: DataFrame, id: str, text: str) -> DataFrame:
                 keys.append(bands(winner) if len(elements) else [])
                 bits.append(register_bits(winner))
             out = batch[["doc", "th"]].assign(content=content, n=sizes, keys=keys)
-            for k in range(3):
-                out[f"s{k}"] = [b[k] for b in bits]
+            for k, plane in enumerate(_PLANES):
+                out[plane] = [b[k] for b in bits]
             yield out
 
     rows = df.select(quoted(id).cast("string").alias("doc"), F.xxhash64(quoted(text)).alias("th"), quoted(text).alias("text"))
-    return rows.mapInPandas(run, "doc string, th long, content long, n long, keys array<long>, s0 long, s1 long, s2 long")
+    return rows.mapInPandas(run, "doc string, th long, content long, n long, keys array<long>, " + ", ".join(f"{p} long" for p in _PLANES))
 
 
 def _shingle_sets(df: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
@@ -143,36 +146,41 @@ def _shingle_sets(df: DataFrame, wanted: DataFrame, id: str, text: str) -> DataF
 
     rows = df.select(quoted(id).cast("string").alias("doc"), F.xxhash64(quoted(text)).alias("th"), quoted(text).alias("text"))
     same = rows["doc"].eqNullSafe(wanted["doc"]) & (rows["th"] == wanted["th"])
-    found = rows.join(wanted, same).select("content", "text").groupBy("content").agg(F.first("text").alias("text"))
+    # one plan at every size: texts are shuffled once, whatever the number of wanted ones
+    found = rows.join(wanted.hint("merge"), same).select("content", "text").groupBy("content").agg(F.first("text").alias("text"))
     return found.mapInPandas(run, "content long, set array<long>")
 
 
 def _plausible(a: str, b: str) -> Column:
     small, large = F.least(a + "n", b + "n"), F.greatest(a + "n", b + "n")
-    differing = sum((F.bit_count(F.col(f"{a}s{k}").bitwiseXOR(F.col(f"{b}s{k}"))) for k in range(3)), F.lit(0))
-    return (small >= SIMILARITY * large) & (differing <= BITS)
+    apart = [F.col(a + p).bitwiseXOR(F.col(b + p)) for p in _PLANES]
+    differing = sum((F.bit_count(apart[k].bitwiseOR(apart[k + 3])) for k in range(3)), F.lit(0))
+    return (small >= SIMILARITY * large) & (differing <= DIFFERING)
 
 
 def classes(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, th, class_id, first): a row per row of ``df``.
 
     ``doc`` is the id as text and ``th`` the hash of the text; ``first`` tells whether the
-    row is the one of its class that stays (the least id, then the least text hash).
+    row is the one of its class that stays (the least id, null first, then the least text hash).
     """
     kind = df.schema[id].dataType
-    signed = store(signatures(df, id, text), "signatures")
+    signed = store(signatures(df, id, text), "signatures", sweep=True)
     texts = signed.groupBy("content").agg(
         F.min(F.struct(F.col("doc").cast(kind).alias("doc"), "th")).alias("at"),
-        *[F.first(c).alias(c) for c in ("n", "s0", "s1", "s2", "keys")],
+        *[F.first(c).alias(c) for c in ("n", *_PLANES, "keys")],
     )
-    texts = store(texts, "distinct-texts")
+    texts = store(texts, "distinct-texts", sweep=True)
     keyed = texts.select(F.explode("keys").alias("key"), F.col("content").alias("id"))
-    shared = keyed.groupBy("key").count().filter("count > 1").select("key")
-    narrow = store(keyed.join(shared, "key", "left_semi"), "shared-keys")
-    rows = store(narrow.join(texts.select(F.col("content").alias("id"), "n", "s0", "s1", "s2"), "id"), "bucket-rows")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    narrow = store(keyed.join(shared, "key"), "shared-keys")
+    # the text that others were copied from shares most buckets with most texts
+    central = narrow.groupBy("id").agg((-F.sum("members")).alias("rank"))
+    about = texts.select(F.col("content").alias("id"), "n", *_PLANES).join(central, "id")
+    rows = store(narrow.drop("members").join(about, "id"), "bucket-rows", sweep=True)
     wanted = narrow.select(F.col("id").alias("content")).distinct().join(texts.select("content", "at"), "content")
     wanted = wanted.select("content", F.col("at.doc").cast("string").alias("doc"), F.col("at.th").alias("th"))
-    sets = store(_shingle_sets(df, store(wanted, "bucket-texts"), id, text), "shingle-sets")
+    sets = store(_shingle_sets(df, store(wanted, "bucket-texts"), id, text), "shingle-sets", sweep=True)
     discard(narrow)
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -181,7 +189,7 @@ def classes(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         common = F.size(F.array_intersect("a_set", "b_set"))
         return both.filter(common >= SIMILARITY * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
-    roots = components(bucket_links(rows, ["key"], "id", _plausible, verified), "a", "b")
+    roots = components(bucket_links(rows, ["key"], "id", _plausible, verified, rank="rank"), "a", "b")
     linked = signed.select(F.col("doc").cast(kind).alias("doc"), "th", "content").join(
         roots.withColumnRenamed("id", "content"), "content", "left"
     )
