@@ -28,6 +28,10 @@ from siltworks.llm.tables import quoted
 from siltworks.llm.tokens import Remembered, TextEncoder, byte_letters
 
 _NEVER = 1 << 60
+#: chunks, pieces and token pairs remembered per worker
+REMEMBERED = 150_000
+#: rows handed on at a time
+ROWS = 500
 
 
 class PrefixEncoder:
@@ -53,10 +57,8 @@ class PrefixEncoder:
             self.automaton.add_word(token, (id, len(token)))
         self.automaton.make_automaton()
         self.length = {id: len(token) for token, id in vocabulary.items()}
-        self.decoded = {id: token.encode("latin-1") for token, id in vocabulary.items()}
-        self.decoded |= {t["id"]: t["content"].encode() for t in rules["added_tokens"]}
         self.spines = Remembered(self._spine)
-        self.fits = Remembered(self._compatible)
+        self.fits = Remembered(self._compatible, REMEMBERED)
         self.whole = Remembered(self._reachable)
 
     def _spine(self, key: tuple[int, int]) -> list[tuple[int, int]]:
@@ -113,33 +115,45 @@ class PrefixEncoder:
         return ids[::-1]
 
 
-class Codec:
-    def __init__(self, path: str):
-        self.pieces = PrefixEncoder(path)
-        self.encoder = TextEncoder(path, self.pieces)
-        size = max(self.pieces.decoded) + 1
-        self.table = [self.pieces.decoded.get(i, b"") for i in range(size)]
+class Decoder:
+    """Texts from ids by the bytes of the vocabulary's tokens."""
 
-    def encode(self, text: str | None) -> bytes:
-        return self.encoder.encode(text)
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        bytes_of = {letter: b for b, letter in enumerate(byte_letters())}
+        known = {id: bytes(bytes_of[x] for x in token) for token, id in rules["model"]["vocab"].items()}
+        known |= {t["id"]: t["content"].encode() for t in rules["added_tokens"]}
+        self.table = [known.get(i, b"") for i in range(max(known) + 1)]
 
-    def decode(self, ids: bytes) -> str:
-        tokens = np.frombuffer(ids, "<u4").tolist()
+    def __call__(self, ids: bytes | None) -> str:
+        tokens = np.frombuffer(ids or b"", "<u4").tolist()
         return b"".join(map(self.table.__getitem__, tokens)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    return Codec(path)
+def text_encoder(path: str) -> TextEncoder:
+    return TextEncoder(path, PrefixEncoder(path), REMEMBERED)
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), ROWS):
+            yield batch.iloc[start : start + ROWS]
 
 
 def encode_texts(df: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): the ids of every whole text as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = codec(tokenizer).encode
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [encode(text) for text in batch["text"]]})
+        encode = text_encoder(tokenizer).encode
+        for rows in _slices(batches):
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": [encode(text) for text in rows["text"]]})
 
     rows = df.select(quoted(id).cast("string").alias("doc_id"), quoted(text).alias("text"))
     return _typed(rows.mapInPandas(run, "doc_id string, ids binary"), df, id)
@@ -149,9 +163,9 @@ def decode_texts(df: DataFrame, tokenizer: str, id: str = "doc_id", ids: str = "
     """(doc_id, ids, text): the text that the ids stand for; null ids give an empty text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decode = codec(tokenizer).decode
-        for batch in batches:
-            yield batch.assign(text=[decode(raw or b"") for raw in batch["ids"]])
+        decode = decoder(tokenizer)
+        for rows in _slices(batches):
+            yield rows.assign(text=[decode(raw) for raw in rows["ids"]])
 
     rows = df.select(quoted(id).cast("string").alias("doc_id"), quoted(ids).alias("ids"))
     return _typed(rows.mapInPandas(run, "doc_id string, ids binary, text string"), df, id)

@@ -61,7 +61,7 @@ def packed(ids: Iterable[int]) -> bytes:
 class TextEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, merge_piece: Callable[[str], Iterable[int]] | None = None):
+    def __init__(self, path: str, merge_piece: Callable[[str], Iterable[int]] | None = None, remembered: int = REMEMBERED):
         import json
 
         import regex
@@ -80,9 +80,9 @@ class TextEncoder:
         )
         self.special = [t["content"] for t in rules["added_tokens"]]
         self.merge_piece = merge_piece
-        self.pieces = Remembered(self._piece)
-        self.chunks = Remembered(self._chunk)
-        self.spaced = Remembered(lambda item: self._chunk(" " + item))
+        self.pieces = Remembered(self._piece, remembered)
+        self.chunks = Remembered(self._chunk, remembered)
+        self.spaced = Remembered(lambda item: self._chunk(" " + item), remembered)
 
     def _piece(self, piece: str) -> bytes:
         if self.merge_piece:
