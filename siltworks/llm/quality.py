@@ -40,7 +40,7 @@ STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 #: the transformed statistics with the least standard deviation granted to each
 FEATURES = {"size": 0.5, "word_length": 0.06, "symbols": 0.3, "capitals": 0.35, "dup_lines": 0.15, "repeats": 0.1}
 #: squared distance beyond which a document is rejected
-CUTOFF = 60.0
+CUTOFF = 75.0
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -236,6 +236,6 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source", min_rows
 def quality_filter(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``df`` that are kept, with its columns."""
     plain, renamed = positional(df)
-    wide = store(statistics(plain, renamed[text]), "statistics")
+    wide = store(statistics(plain, renamed[text]), "statistics", sweep=True)
     kept = judge(wide, renamed[lang], renamed[source]).filter("kept")
     return kept.select(*[F.col(n).alias(c) for c, n in renamed.items()])

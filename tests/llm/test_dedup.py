@@ -183,12 +183,29 @@ def test_simhash_blocks_find_every_near_pair(spark):
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     rows = store(lines.block_rows(spark.createDataFrame([(v,) for v in signed], "sim long")), "blocks")
     near = lambda a, b: F.bit_count(F.col(a + "id").bitwiseXOR(F.col(b + "id"))) <= lines.RADIUS
-    got = bucket_links(rows, ["place", "key"], "sim", near).collect()
+    got = bucket_links(rows, ["key"], "sim", near).collect()
     at = {v: i for i, v in enumerate(signed)}
     pairs = [(i, j) for i in range(len(values)) for j in range(i) if bin(values[i] ^ values[j]).count("1") <= lines.RADIUS]
     assert roots(len(values), [(at[r["a"]], at[r["b"]]) for r in got]) == roots(len(values), pairs)
 
 
+def test_long_lines_are_compared_by_words(spark):
+    rng = random.Random(4)
+    words = [f"w{i}x{rng.randrange(1000)}" for i in range(300)]
+    texts = [" ".join(words)]
+    for changed in (1, 3):
+        copy = list(words)
+        for i in range(changed):
+            copy[50 * i] = f"new{i}{changed}"
+        texts.append(" ".join(copy))
+    near = spark.createDataFrame([(texts[0], t) for t in texts], "a string, b string").select(
+        lines.edit_similar(lines.word_letters(F.col("a")), lines.word_letters(F.col("b")), 0.995).alias("near")
+    )
+    assert [r["near"] for r in near.collect()] == [True, True, False]
+    out = lines.dedup_lines(documents(spark, list(enumerate([texts[0], texts[0] + " !!", texts[0].upper()])))).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in out} == {0: 0, 1: 1, 2: 1}
+
+
 def test_lines_awkward(spark):
     out = lines.drop_repeated_lines(documents(spark))
     assert out.columns == DOCUMENTS.fieldNames()
@@ -286,7 +303,9 @@ def passage_corpus(rng):
     return docs
 
 
-def test_passages_against_plain_version(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [2, 50_000])
+def test_passages_against_plain_version(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT_ENTRIES", hot)
     docs = passage_corpus(random.Random(9))
     got = {r["doc_id"]: r for r in suffixes.remove_repeated(documents(spark, docs)).collect()}
     bodies = [(t or "").encode() for _, t in docs]
