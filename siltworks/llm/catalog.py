@@ -108,7 +108,7 @@ def op9_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    stats = store(quality.statistics(documents).drop("text"), "statistics")
+    stats = store(quality.statistics(documents).drop("text"), "statistics", sweep=True)
     return quality.judge(stats).select("doc_id", *quality.STATISTICS, "base_failed", "kept", "distance")
 
 
@@ -145,7 +145,7 @@ def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op7_merkle_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Two replicas of all pages, one with damaged records; every record with what the audit says."""
-    records = store(warc.records(table(spark, sf, "pages").select("page_id", "url", "html")), "records")
+    records = warc.records(table(spark, sf, "pages").select("page_id", "url", "html"))
     paths = [new_path(spark, f"replica-{side}") for side in "ab"]
     warc.write_archives(records, paths[0])
     number = F.substr("name", F.lit(len("urn:page:") + 1)).try_cast("long")

@@ -4,26 +4,30 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
 
 
+def sweep_shuffles(spark: SparkSession) -> None:
+    """Collect the driver's garbage, so that Spark deletes shuffle files nothing needs any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def store(df: DataFrame, name: str, sweep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The lineage ends here, so shuffle files of the jobs before it are no longer needed.
-    ``sweep``, for jobs that shuffled texts, collects the driver's garbage, which lets Spark
-    delete them at once.
+    ``sweep``, for jobs that shuffled texts, has them deleted at once.
     """
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     if sweep:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        sweep_shuffles(spark)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.tables import quoted, store
+from siltworks.llm.tables import quoted, store, sweep_shuffles
 
 END = "\r\n\r\n"
 FANOUT = 16
@@ -57,6 +57,7 @@ def write_archives(records: DataFrame, path: str) -> None:
     ordered = records.repartition("archive").sortWithinPartitions("archive", "name", "record")
     out = ordered.select("archive", F.col("record").alias("value"))
     out.write.partitionBy("archive").option("lineSep", END).option("compression", "gzip").text(path)
+    sweep_shuffles(records.sparkSession)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, str, bytes]]:
