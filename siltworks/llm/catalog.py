@@ -146,13 +146,12 @@ def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 def op7_merkle_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Two replicas of all pages, one with damaged records; every record with what the audit says."""
     records = warc.records(table(spark, sf, "pages").select("page_id", "url", "html"))
-    paths = [new_path(spark, f"replica-{side}") for side in "ab"]
-    warc.write_archives(records, paths[0])
+    path = new_path(spark, "replicas")
     number = F.substr("name", F.lit(len("urn:page:") + 1)).try_cast("long")
     hit = F.coalesce(number % 101 == 7, F.lit(False))
     damaged = F.when(hit, F.overlay("record", F.lit("X"), F.lit(12))).otherwise(F.col("record"))
-    warc.write_archives(records.withColumn("record", damaged), paths[1])
-    left, right = (store(warc.read_archives(spark, path), "leaves") for path in paths)
+    warc.write_replicas(records, path, {"a": F.col("record"), "b": damaged})
+    left, right = (store(warc.read_archives(spark, f"{path}/replica={side}"), "leaves") for side in "ab")
     found = store(warc.audit(left, right), "audit").select("archive", "seq", "status")
     return left.join(found, ["archive", "seq"], "left").select(
         number.alias("page_id"),

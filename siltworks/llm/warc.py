@@ -52,6 +52,16 @@ def records(pages: DataFrame, id: str = "page_id", url: str = "url", body: str =
     return pages.select(archive.cast("long").alias("archive"), name.alias("name"), record.alias("record"))
 
 
+def write_replicas(records: DataFrame, path: str, versions: dict[str, Column]) -> None:
+    """Archives of several versions of the records in ``path/replica=<name>``, from one shuffle."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("replica"), v.alias("value")) for k, v in versions.items()]))
+    rows = records.repartition("archive").select("archive", "name", "record", each.alias("v"))
+    rows = rows.select("v.replica", "archive", "name", "record", "v.value")
+    out = rows.sortWithinPartitions("replica", "archive", "name", "record").select("replica", "archive", "value")
+    out.write.partitionBy("replica", "archive").option("lineSep", END).option("compression", "gzip").text(path)
+    sweep_shuffles(records.sparkSession)
+
+
 def write_archives(records: DataFrame, path: str) -> None:
     """One gzip file per archive in ``path``, records ordered by name."""
     ordered = records.repartition("archive").sortWithinPartitions("archive", "name", "record")
