@@ -4,7 +4,8 @@ Every document gets base statistics of its whole text, two base rules, and a vec
 transformed statistics.  Per language and source a minimum-covariance-determinant estimate
 is fitted: the mean and covariance of the ``SUPPORT`` share of documents whose covariance
 determinant is smallest, found by concentration steps from robust starts.  Documents whose
-squared Mahalanobis distance to their group's estimate exceeds ``CUTOFF`` are rejected.
+squared Mahalanobis distance to their group's estimate exceeds ``CUTOFF``, the chi-square
+quantile of ``CONFIDENCE`` for that many statistics, are rejected.
 
 A concentration step is one aggregation: distances fall into fine logarithmic bins, the
 moments of the rows are summed per group and bin, and the innermost bins that hold the
@@ -37,10 +38,13 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOLS = "[#*$%&|<>]"
 _CAPITALS = r"\p{Lu}{2,}"
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: the transformed statistics with the least standard deviation granted to each
-FEATURES = {"size": 0.5, "word_length": 0.06, "symbols": 0.3, "capitals": 0.35, "dup_lines": 0.15, "repeats": 0.1}
-#: squared distance beyond which a document is rejected
-CUTOFF = 75.0
+#: the transformed statistics with the least standard deviation granted to each: what chance moves
+#: it by in a short document.  1/sqrt(100 words); spread of word lengths of half their mean over
+#: 100 words; one symbol and one run of capitals in 300 words; the root of a share of ten lines;
+#: one chance repetition, of six words, in 100
+FEATURES = {"size": 0.1, "word_length": 0.05, "symbols": 0.3, "capitals": 0.3, "dup_lines": 0.15, "repeats": 0.06}
+#: share of normally spread documents that stay
+CONFIDENCE = 0.999
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -216,6 +220,10 @@ def _chi2_quantile(q: float, p: int) -> float:
     return low
 
 
+#: squared distance beyond which a document is rejected
+CUTOFF = _chi2_quantile(CONFIDENCE, len(FEATURES))
+
+
 def judge(stats: DataFrame, lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS, cutoff: float = CUTOFF) -> DataFrame:
     """Add ``distance`` (squared, null without an estimate) and ``kept`` to a stored table
     that has the columns of ``statistics``."""

@@ -89,6 +89,18 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert {i for i, k in kept.items() if not k} == {i for i in kept if i % 20 in (1, 2, 3)}
 
 
+def test_repetition_alone_is_an_outlier(spark):
+    """Documents that only repeat lines, or only words, go; each would pass the base rules."""
+    clean = [(i, t) for i, t in invented(random.Random(8), 400) if i % 20 > 3]
+    stats = quality.statistics(spark.createDataFrame([(i, t, "en", "s", len(t), "x", i, "y", 0, "z") for i, t in clean], DOCUMENTS)).drop("size")
+    one = stats.filter("doc_id = 4")
+    lines_only = one.withColumns({"doc_id": F.lit(-1).cast("long"), "n_lines": F.lit(20).cast("long"), "n_dup_lines": F.lit(15).cast("long")})
+    words_only = one.withColumns({"doc_id": F.lit(-2).cast("long"), "n_repeat_words": F.floor(0.45 * F.col("n_words"))})
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(store(stats.unionByName(lines_only).unionByName(words_only), "stats")).collect()}
+    assert [i for i, k in kept.items() if not k and i < 0] == [i for i in kept if i < 0] and len(kept) == len(clean) + 2
+    assert sum(not k for i, k in kept.items() if i >= 0) <= 0.01 * len(clean)
+
+
 def test_concentration_matches_plain_steps(spark):
     """The estimate equals one computed row by row, with the same bins."""
     rng = np.random.default_rng(3)
