@@ -13,9 +13,9 @@ share give the next estimate.  No task sees a group's rows together.  Transforme
 are rounded to 1/1024 so that sums do not depend on the order of rows.
 
 Words are runs of ``[^\x20\x09-\x0D]``.  Defined results: a null text has no words; rows
-with null language or source form groups of their own; groups below ``MIN_ROWS`` fitted
-rows are joined per language, and those that still are below it over all languages; if
-even they are fewer, only the base rules hold; repeated rows count as often as they occur.
+with null language or source form groups of their own; rows of groups below ``MIN_ROWS`` fitted
+rows are judged by the estimate of all rows of their language, or of the whole table where the
+language is below it too; if the whole table is, only the base rules hold; repeated rows count as often as they occur.
 """
 
 from __future__ import annotations
@@ -116,17 +116,17 @@ def feature_columns() -> dict[str, Column]:
 
 
 def fit_groups(stats: DataFrame, lang: str, source: str, min_rows: int) -> DataFrame:
-    """(lang, source, group): the estimation group of every language and source.
+    """(lang, source, group, names): the group whose estimate judges every language and source,
+    and the names of all groups its rows could be fitted in.
 
     Only documents that pass the base rules are fitted, so only they count.
     """
     key = [quoted(lang).alias("_lang"), quoted(source).alias("_source")]
     sizes = stats.groupBy(*key).agg(F.sum((~F.col("base_failed")).cast("long")).alias("n"))
-    own = sizes.withColumn("own", F.col("n") >= min_rows)
-    pooled = F.sum(F.when(~F.col("own"), F.col("n")).otherwise(0)).over(W.partitionBy("_lang"))
-    name = F.when(F.col("own"), F.to_json(F.array("_lang", "_source")))
-    name = name.when(pooled >= min_rows, F.to_json(F.array("_lang"))).otherwise("all")
-    return own.withColumn("_group", name).select("_lang", "_source", "_group")
+    of_lang = F.sum("n").over(W.partitionBy("_lang"))
+    own, whole = F.to_json(F.array("_lang", "_source")), F.to_json(F.array("_lang"))
+    name = F.when(F.col("n") >= min_rows, own).when(of_lang >= min_rows, whole).otherwise("all")
+    return sizes.select("_lang", "_source", name.alias("_group"), F.array(own, whole, F.lit("all")).alias("_names"))
 
 
 _NAMES = list(FEATURES)
@@ -230,13 +230,14 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source", min_rows
     groups = store(fit_groups(stats, lang, source, min_rows), "fit-groups")
     same = quoted(lang).eqNullSafe(F.col("_lang")) & quoted(source).eqNullSafe(F.col("_source"))
     grouped = stats.join(groups, same).drop("_lang", "_source").withColumns(feature_columns())
-    fitted = store(grouped.filter(~F.col("base_failed")).select("_group", *_NAMES), "fit-rows")
+    served = grouped.filter(~F.col("base_failed")).select(F.explode("_names").alias("_group"), *_NAMES)
+    fitted = store(served.join(groups.select("_group").distinct(), "_group", "left_semi"), "fit-rows")
     large = fitted.join(fitted.groupBy("_group").count().filter(F.col("count") >= min_rows).select("_group"), "_group", "left_semi")
     widen = _consistency(SUPPORT, len(_NAMES))
     estimates = store(_factor(_start(large), 1.0), "estimate")
     for _ in range(STEPS):
         estimates = store(_factor(_concentrate(large, estimates), widen), "estimate")
-    measured = with_distance(grouped, estimates, "distance").drop("_group", *_NAMES)
+    measured = with_distance(grouped, estimates, "distance").drop("_group", "_names", *_NAMES)
     near = F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return measured.withColumn("kept", ~F.col("base_failed") & near)
 

@@ -101,6 +101,19 @@ def test_repetition_alone_is_an_outlier(spark):
     assert sum(not k for i, k in kept.items() if i >= 0) <= 0.01 * len(clean)
 
 
+def test_leftovers_are_judged_by_their_language_or_the_whole_table(spark):
+    texts = [t for i, t in invented(random.Random(9), 400) if i % 20 > 3]
+    bad = " ".join(w + "%%%" for w in texts[0].split())
+    small = [("en", "few", t) for t in texts[:5] + [bad]] + [("xx", None, t) for t in texts[5:8] + [bad]]
+    rows = [("en", "s", t) for t in texts[10:]] + small
+    data = [(i, t, lang, source, len(t), "x", i, "y", 0, "z") for i, (lang, source, t) in enumerate(rows)]
+    stats = store(quality.statistics(spark.createDataFrame(data, DOCUMENTS)).drop("size"), "stats")
+    got = quality.judge(stats).collect()
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} >= {i for i, (_, _, t) in enumerate(rows) if t == bad}
+    assert sum(not r["kept"] for r in got) <= 2 + 0.01 * len(rows)
+
+
 def test_concentration_matches_plain_steps(spark):
     """The estimate equals one computed row by row, with the same bins."""
     rng = np.random.default_rng(3)
