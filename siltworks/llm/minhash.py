@@ -1,7 +1,8 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-Texts become weighted sets of five-word shingles (lower case, words split at white space;
-the weight is how often the shingle occurs; a text of one to four words is one shingle).
+Texts become sets of five-word shingles (lower case, words split at white space; a text of
+one to four words is one shingle).  Every shingle of a text has the same weight however often
+it occurs, so registers estimate the set similarity that is verified.
 Every shingle is a Poisson process whose rate is its weight; each arrival falls into one of
 ``REGISTERS`` registers, and a register keeps the shingle that arrived first.  Elements
 stop as soon as their next arrival is later than the latest register.  Two texts agree in a
@@ -121,9 +122,9 @@ def signatures(df: DataFrame, id: str, text: str) -> DataFrame:
             for value in batch["text"]:
                 words, hashed = _words(known, value)
                 content.append(xxhash.xxh64_intdigest(" ".join(words).encode()) - (1 << 63))
-                elements, weights = np.unique(shingles(hashed), return_counts=True)
+                elements = np.unique(shingles(hashed))
                 sizes.append(len(elements))
-                winner = signature(elements, weights)
+                winner = signature(elements, np.ones(len(elements)))
                 keys.append(bands(winner) if len(elements) else [])
                 bits.append(register_bits(winner))
             out = batch[["doc", "th"]].assign(content=content, n=sizes, keys=keys)

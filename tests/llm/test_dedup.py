@@ -275,6 +275,20 @@ def test_minhash_classes_against_all_pairs(spark):
         assert got[i]["first"] == (got[i]["class_id"] == i)
 
 
+def test_a_line_repeated_many_times_does_not_hide_a_near_copy(spark):
+    rng = random.Random(12)
+    docs = []
+    for i in range(20):
+        words = [f"w{i}x{k}" for k in range(304)]
+        at = rng.randrange(280)
+        copy = words[:at] + words[at : at + 10] * 30 + words[at + 10 :]
+        sets = [shingle_set(" ".join(w)) for w in (words, copy)]
+        assert len(sets[0] & sets[1]) >= 0.95 * len(sets[0] | sets[1])
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    got = {r["doc"]: r["class_id"] for r in minhash.classes(documents(spark, docs)).collect()}
+    assert got == {i: i - i % 2 for i, _ in docs}
+
+
 def test_probability_jaccard_is_estimated():
     rng = np.random.default_rng(1)
     agree = []
