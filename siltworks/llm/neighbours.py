@@ -10,7 +10,8 @@ and the nearest kept.
 How many curves are needed depends on the data: they are added ``BATCH`` at a time until
 the recall on ``SAMPLE`` queries, searched by brute force, reaches ``RECALL``.  That sample
 and ``FIT_ROWS`` rows for the scale of the projections are the only bounded parts; every
-vector is on every curve.
+vector is on every curve.  Where the curves have shown a query as many rows as there are, and
+``LEAST_CURVES`` at least, without reaching it, every query is searched exactly, ``ASKED`` at a time.
 
 Equal vectors are one point with its smallest ids, so many copies do not fill a block.
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
@@ -21,6 +22,7 @@ smaller id; other columns do not matter; without vectors there are no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,9 @@ from siltworks.llm.tables import discard, quoted, running_offsets, store
 
 DIRECTIONS, BITS = 4, 10
 BLOCK, MARGIN = 8192, 4096
-BATCH, MOST_CURVES = 3, 60
+BATCH, LEAST_CURVES = 3, 60
+#: queries that a pass of the exact search holds
+ASKED = 5000
 SAMPLE, RECALL = 200, 0.95
 FIT_ROWS = 10_000
 
@@ -180,6 +184,20 @@ def _exact(points: DataFrame, asked: pd.DataFrame, k: int) -> DataFrame:
     return points.select("point", "least_id", "vector").mapInPandas(run, "query long, point long, score double")
 
 
+def _all_exact(points: DataFrame, least: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of every query by brute force, a slice of the queries in each pass over the points."""
+    asks = points.filter("asks")
+    slices = max(1, -(-asks.count() // ASKED))
+    asks = store(asks.select("point", "vector", F.pmod(F.xxhash64(F.lit(2), "point"), F.lit(slices)).alias("slice")), "asking")
+    found = None
+    for n in range(slices):
+        asked = asks.filter(F.col("slice") == n).select("point", "vector").toPandas()
+        if len(asked):
+            best = store(_best(_exact(points, asked, k), least, k), "exact")
+            found = best if found is None else found.union(best)
+    return found
+
+
 def distinct_points(df: DataFrame, id: str, vector: str, every: int, k: int) -> tuple[DataFrame, DataFrame]:
     """Stored (point, least_id, vector, asks, ids) per distinct vector, and (query_id, point) per query."""
     rows = df.select(quoted(id).cast("long").alias("id"), quoted(vector).alias("vector")).filter(F.col("id").isNotNull() & usable(F.col("vector")))
@@ -208,7 +226,9 @@ def nearest(df: DataFrame, id: str = "vec_id", vector: str = "embedding", every:
         if len(asked):
             truth = store(_best(_exact(points, asked, k + 1), least, k + 1).select("query", "point"), "truth")
             wanted = truth.count()
-        for first in range(0, MOST_CURVES if len(asked) else 0, BATCH):
+            # beyond it an exact search looks at fewer rows
+            enough = max(LEAST_CURVES, points.count() // (BLOCK + 2 * MARGIN))
+        for first in count(0, BATCH) if len(asked) else ():
             more = _along_curves(points, _Curves(first, sample.shape[1], float(norm), sample), k + 1)
             merged = store(_best(more if found is None else found.union(more), least, k + 1), "nearest")
             if found is not None:
@@ -216,6 +236,10 @@ def nearest(df: DataFrame, id: str = "vec_id", vector: str = "embedding", every:
             found = merged
             if truth.join(found, ["query", "point"], "left_semi").count() >= RECALL * wanted:
                 break
+            if first + BATCH >= enough:
+                discard(found)
+                found = _all_exact(points, least, k + 1)
+                break
     if found is None:
         found = points.select(F.col("point").alias("query"), "point", F.lit(0.0).alias("score")).limit(0)
     rows = found.join(points.select("point", F.explode("ids").alias("vec_id")), "point")

@@ -136,6 +136,16 @@ def test_recall_over_blocks(spark, monkeypatch):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def test_queries_are_searched_exactly_where_curves_fall_short(spark, monkeypatch):
+    for name, value in {"BLOCK": 256, "MARGIN": 0, "ASKED": 40}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    for name in ("LEAST_CURVES", "MOST_CURVES"):
+        monkeypatch.setattr(neighbours, name, 3, raising=False)
+    rows = vectors(1500, 32, seed=3)
+    got, want = search(spark, rows), brute(rows, 20, 20)
+    assert {q: [j for j, _ in v] for q, v in got.items()} == {q: [j for j, _ in v] for q, v in want.items()}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_sql(spark, sf, name):
     import check
