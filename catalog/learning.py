@@ -350,7 +350,7 @@ def save_model(spark, sf):
 @query("al_cycle")
 def al_cycle(spark, sf):
     split = _text_split(spark, sf)
-    history, _ = A.al_cycle(_part(split, "seed"), _part(split, "pool"), _part(split, "test"), "entropy", n_iterations=2)
+    history, _ = A.al_cycle(_part(split, "seed"), _part(split, "pool"), _part(split, "test"), "entropy")
     return history
 
 
@@ -359,7 +359,7 @@ def al_cycle_embedding(spark, sf):
     rows = _vectors(spark, sf).withColumn("label", F.concat(F.lit("c"), F.col("label").cast("string")))
     split = materialize(A.stratified_split(rows), "split")
     history, _ = A.al_cycle(
-        _part(split, "seed"), _part(split, "pool"), _part(split, "test"), "margin", n_iterations=2, modality="image", mode="embedding"
+        _part(split, "seed"), _part(split, "pool"), _part(split, "test"), "margin", modality="image", mode="embedding"
     )
     return history
 

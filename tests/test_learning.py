@@ -216,3 +216,22 @@ def test_extractor_choice(spark):
     assert X.features_for(vectors, "image").kind == "embedding"
     assert X.features_for(unified(spark, ['{"a": 1}']), "tabular").kind == "tabular"
     assert np.isclose(X.embedding_features(vectors).first()["scaled"][0], 0.0)
+
+
+def test_registered_cycles_are_whole(spark, sf, monkeypatch):
+    """The cycles leave iterations and strategies to the operators, whose limits are the reference's."""
+    from inspect import signature
+
+    from catalog import learning, reports
+    from siltworks.operators.active import STRATEGIES, al_cycle
+    from siltworks.operators.models import estimator
+
+    told, config = [], []
+    monkeypatch.setattr(learning.A, "al_cycle", lambda *a, **k: told.append(signature(al_cycle).bind(*a, **k)) or (None, None))
+    monkeypatch.setattr(reports, "run_stages", lambda spark, sources, c: config.append(c) or {"data_card": None})
+    learning.al_cycle(spark, sf), learning.al_cycle_embedding(spark, sf), reports.end_to_end(spark, sf)
+    for bound in told:
+        bound.apply_defaults()
+    assert [b.arguments["n_iterations"] for b in told] == [5, 5]
+    assert config[0].iterations == 5 and tuple(config[0].al_strategies) == tuple(STRATEGIES)
+    assert estimator("svm", 10).getClassifier().getMaxIter() == 2000 and estimator("rf", 10).getMaxDepth() == 30
