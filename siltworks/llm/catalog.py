@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import new_path
-from siltworks.llm import binary, bpe, chat, lines, minhash, neighbours, packing, quality, suffixes, warc
+from siltworks.llm import binary, bpe, chat, interaction, lines, minhash, neighbours, packing, quality, suffixes, urls, warc, whitening
 from siltworks.llm.tables import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,96 @@ def op7_merkle_audit(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_hilbert_neighbours")
 def op8_hilbert_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"), every=20, k=20)
+
+
+# The rules of the query, and the first host labels whose pages make its list.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+LISTED_LABELS = ["adult-x", "free-bets"]
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(
+    "op11_url_filters",
+    rf"""
+    WITH cut AS (
+      SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    split AS (
+      SELECT page_id, url, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), {_ASCII}) AS host,
+             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(rest, ''), '^[^?#]*\?([^#]*)', 1) AS query
+      FROM cut),
+    named AS (
+      SELECT *, list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS told
+      FROM split),
+    made AS (
+      SELECT *, CASE WHEN instr(url, '://') > 0 THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+                || regexp_replace(path, '(\.html|/+)$', '') || CASE WHEN len(told) = 0 THEN '' ELSE '?' || array_to_string(told, '&') END END AS canonical
+      FROM named),
+    rules(verdict, rhost, rpath) AS (VALUES {", ".join(repr(r) for r in URL_RULES)}),
+    best AS (
+      SELECT page_id, arg_max(r.rhost || r.rpath, length(r.rhost || r.rpath)) AS rule, arg_max(r.verdict, length(r.rhost || r.rpath)) AS verdict
+      FROM made m JOIN rules r ON (m.host = r.rhost OR ends_with(m.host, '.' || r.rhost)) AND starts_with(m.path, r.rpath) GROUP BY page_id),
+    listed AS (SELECT DISTINCT canonical FROM made WHERE split_part(host, '.', 1) IN ({", ".join(repr(w) for w in LISTED_LABELS)}))
+    SELECT m.page_id, m.host, m.path, m.canonical, b.rule,
+           coalesce(b.verdict, CASE WHEN l.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+    FROM made m LEFT JOIN best b USING (page_id) LEFT JOIN listed l USING (canonical)""",
+)
+def op11_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages against the rules and a list: every URL seen on hosts for adults and betting."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    host = urls.split_url(F.col("url"))[0]
+    listed = pages.filter(F.substring_index(host, ".", 1).isin(LISTED_LABELS)).select("url")
+    return urls.judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "canonical", "rule", "verdict")
+
+
+@query(
+    "op12_filter_interactions",
+    r"""
+    WITH own AS (
+      SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    failed AS (
+      SELECT part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e,
+             coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+             coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic FROM own),
+    masks AS (
+      SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+             sum(good::INT) AS good, sum(toxic::INT) AS toxic FROM failed GROUP BY 1, 2),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+    orders AS (
+      SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+      WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+    steps AS (
+      SELECT o.filter_order, l.bit, instr(o.filter_order, l.x) AS step,
+             (SELECT sum(e.bit) FROM letters e WHERE instr(o.filter_order, e.x) < instr(o.filter_order, l.x)) AS before
+      FROM orders o, letters l),
+    found AS (
+      SELECT m.part, s.filter_order, s.step, s.bit,
+             sum(CASE WHEN m.mask & (coalesce(s.before, 0) | s.bit) = 0 THEN m.n ELSE 0 END) AS kept,
+             sum(CASE WHEN m.mask & coalesce(s.before, 0) = 0 AND m.mask & s.bit > 0 THEN m.n ELSE 0 END) AS removed,
+             sum(CASE WHEN m.mask & coalesce(s.before, 0) > 0 AND m.mask & s.bit > 0 THEN m.n ELSE 0 END) AS redundant,
+             sum(CASE WHEN m.mask = s.bit THEN m.n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN m.mask & coalesce(s.before, 0) = 0 AND m.mask & s.bit > 0 THEN m.good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN m.mask & coalesce(s.before, 0) = 0 AND m.mask & s.bit > 0 THEN m.toxic ELSE 0 END) AS toxic_lost
+      FROM masks m, steps s GROUP BY 1, 2, 3, 4)
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+           unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM found""",
+)
+def op12_filter_interactions(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return interaction.interaction_audit(interaction.failure_masks(documents, table(spark, sf, "labels")))
+
+
+@query("op13_lanczos_whitening")
+def op13_lanczos_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))

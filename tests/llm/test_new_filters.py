@@ -1,0 +1,234 @@
+"""URL filters, the filter interaction audit and whitening against plain versions."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltworks.llm import interaction, urls, whitening
+from tests.llm import helpers as H
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
+
+
+# ---- URL filters
+
+
+def plain_judge(url, listed):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest).group()
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    path = re.match(r"[^/?#]*([^?#]*)", rest).group(1)
+    fits = [r for r in RULES if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+    if fits:
+        best = max(fits, key=lambda r: len(r[1] + r[2]))
+        return host, path, best[1] + best[2], best[0]
+    return host, path, None, "block" if url in listed else "allow"
+
+
+ADDRESSES = [
+    None, "", "no scheme", "http://", "://x.net/es/1", "http://A.B.COM/En/", "http://example.com/en/x", "https://www.example.com/en/",
+    "https://sub.www.example.com/en/?q#f", "http://notexample.com/en/", "http://com/", "http://com", "http://bücher.ÖX.net/es/?a=1",
+    "http://x.net/es", "http://x.org/a#http://y.net/es/", "http://x.org?u=://z.com/", "ftp://x.org/a\nb?c", "http://x.org/a",
+]
+
+
+def test_rules_and_parts_match_a_plain_version(spark):
+    listed = {"http://x.org/a", "http://com/"}
+    df = spark.createDataFrame([(i, u, "h", 1) for i, u in enumerate(ADDRESSES * 2)], "page_id long, url string, Host string, `a.b` int")
+    got = urls.judge_urls(df, spark.createDataFrame([(u,) for u in listed], "url string"), RULES)
+    assert got.columns == ["page_id", "url", "a.b", "host", "path", "canonical", "rule", "verdict"]
+    found = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got.collect()}
+    # the fragment and a slash at the end are no part of the canonical form
+    same = {u for u in ADDRESSES if u and u.partition("#")[0].rstrip("/") in {x.rstrip("/") for x in listed}}
+    assert found == {i: plain_judge(u, same) for i, u in enumerate(ADDRESSES * 2)}
+
+
+def test_canonical_forms(spark):
+    one = "HTTPS://www.X.org:443/a/?b=2&utm_source=z&a=1#top"
+    for other in ("http://x.org/a?a=1&b=2", "http://x.org:80/a.html?b=2&a=1&", "http://www.x.org/a/?ref=q&a=1&b=2"):
+        row = spark.createDataFrame([(one, other)], "a string, b string").select(urls.canonical(F.col("a")), urls.canonical(F.col("b"))).first()
+        assert row[0] == row[1] == "x.org/a?a=1&b=2"
+
+
+def test_every_listed_url_passes_a_crowded_filter_and_no_other_is_blocked(spark):
+    listed = [f"http://h{i % 50}.org/{i}" for i in range(3000)]
+    asked = listed + [u + "x" for u in listed] + listed[:1] * 4000 + [None] * 10  # a third under one URL
+    df = spark.createDataFrame(list(enumerate(asked)), "id long, url string").repartition(6)
+    for most in (1, 2, urls.MOST_BLOCKS):  # one block lets everything through, the join decides
+        got = urls.judge_urls(df, spark.createDataFrame([(u,) for u in listed + [None, "no scheme"]], "url string"), most_blocks=most)
+        found = {r["id"]: r["verdict"] for r in got.collect()}
+        assert found == {i: "block" if u in set(listed) else "allow" for i, u in enumerate(asked)}
+
+
+def test_filter_has_few_false_positives_and_a_bounded_size(spark):
+    keys = spark.range(20000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    bloom, blocks = urls.blocked_bloom(keys, "key", 20000)
+    assert blocks == 625 and bloom.count() <= blocks
+    other = spark.range(20000, 60000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    assert urls.mark_possible(keys, "key", bloom, blocks, "hit").filter("NOT hit").count() == 0
+    assert urls.mark_possible(other, "key", bloom, blocks, "hit").filter("hit").count() < 400
+    assert urls.blocked_bloom(keys, "key", 10**12)[1] == urls.MOST_BLOCKS
+
+
+def test_urls_of_empty_tables(spark):
+    df = spark.createDataFrame([(1, "http://a.org/")], "id long, url string")
+    assert urls.judge_urls(df.limit(0), df).count() == 0
+    assert urls.judge_urls(df, df.limit(0)).first()["verdict"] == "allow"
+
+
+# ---- filter interactions
+
+
+def plain_failures(rows):
+    """{(part, index): set of failed letters} for (id, text, part) rows."""
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    out = []
+    for i, text, part in rows:
+        text = text or ""
+        words = H.words_of(text)
+        failed = ""
+        failed += "A" if len(words) < 100 else ""
+        failed += "B" if 100 * len(set(words)) < 80 * len(words) else ""
+        failed += "C" if 100 * len(re.findall("[A-Z]", text)) > 10 * len(text) else ""
+        failed += "D" if re.search("[#$%&*|]", text) else ""
+        failed += "E" if i is not None and i > first[text] else ""
+        out.append((i, part or "", failed))
+    return out
+
+
+def plain_audit(failures, good, toxic):
+    rows, totals = {}, {}
+    for part in {p for _, p, _ in failures}:
+        own = [(i, f) for i, p, f in failures if p == part]
+        for order in itertools.permutations("ABCDE"):
+            left = own
+            for step, letter in enumerate(order, 1):
+                gone = [(i, f) for i, f in left if letter in f]
+                left = [(i, f) for i, f in left if letter not in f]
+                totals[part, letter] = totals.get((part, letter), 0) + len(gone)
+                failing = sum(letter in f for _, f in own)
+                rows[part, "".join(order), step] = [
+                    len(left), len(gone), failing - len(gone), sum(f == letter for _, f in own),
+                    sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone),
+                ]
+    return {k: (*v, totals[k[0], k[1][k[2] - 1]]) for k, v in rows.items()}
+
+
+def audit_rows(spark, rows, labels):
+    docs = spark.createDataFrame([(*r, 0, 1, "x") for r in rows], "doc_id long, text string, lang string, n long, mask int, `a.b` string").repartition(5)
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = interaction.interaction_audit(interaction.failure_masks(docs, told)).collect()
+    return {tuple(r)[:3]: tuple(r)[3:] for r in got}
+
+
+def test_audit_matches_filtering_row_by_row(spark):
+    rng = random.Random(3)
+    texts = [t for _, t in H.awkward_texts()] + ["AB CD # " * 30, "one two", None, "word " * 200, " ".join(f"W{k}" for k in range(120))]
+    rows = [(rng.choice([None, *range(60)]), rng.choice(texts), rng.choice([None, "", "en", "de"])) for _ in range(250)]
+    rows += [(3, texts[0], "en")] * 5 + [(k, texts[0], "fr") for k in range(300, 420)]  # repeated rows, and a hot text
+    labels = [(k, 1 if k % 2 else 0, 1 if k % 5 == 0 else None) for k in range(80)] + [(7, 0, 1), (7, 0, 1), (None, 1, 1)]
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    assert audit_rows(spark, rows, labels) == plain_audit(plain_failures(rows), good, toxic)
+
+
+def test_audit_of_an_empty_table_and_without_labels(spark):
+    assert audit_rows(spark, [], [(1, 1, 1)]) == {}
+    got = audit_rows(spark, [(1, "x", None)], [])
+    assert len(got) == 600 and {k[0] for k in got} == {""}
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5])
+def test_swapped_diagrams_equal_diagrams_built_in_that_order(k):
+    rng = random.Random(k)
+    counts = {m: (rng.choice([0, 0, 1, 5, 10**12]), rng.randrange(3), 0) for m in range(1 << k)}
+    diagram = interaction.Diagram(k, counts, 3)
+    seen = {tuple(diagram.order)}
+    for level in interaction.adjacent_changes(k):
+        diagram.swap(level)
+        order = tuple(diagram.order)
+        seen.add(order)
+        moved = {sum(1 << j for j, v in enumerate(order) if m >> v & 1): c for m, c in counts.items()}
+        fresh = interaction.Diagram(k, moved, 3)
+        assert diagram.steps() == fresh.steps() and len(diagram.nodes) == len(fresh.nodes)
+    assert seen == set(itertools.permutations(range(k)))
+
+
+# ---- whitening
+
+
+def vectors(spark, data):
+    return spark.createDataFrame([(i, v, "x") for i, v in data], "vec_id long, embedding array<double>, x string").repartition(3)
+
+
+def check_whitening(spark, data, wanted=8):
+    got = whitening.whiten(vectors(spark, data), wanted=wanted).toPandas()
+    sound = [(i, v) for i, v in data if v and all(c is not None and np.isfinite(c) and abs(c) < 2**39 for c in v)]
+    x = np.floor(1024 * np.array([v for _, v in sound])).astype(np.int64) + 100_000
+    n, sums = len(x), x.sum(axis=0)
+    centred = x - sums / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1], axes[:, ::-1]
+    k = min(wanted, int((values > values[0] * 1e-13).sum()))
+    assert len(got) == n * k and set(got["n"]) == {n} and set(got["component"]) == set(range(1, k + 1))
+    far = {}
+    for (i, _), row in zip(sound, x):
+        far.setdefault(i, []).append(sum((n * int(a) - int(s)) ** 2 for a, s in zip(row, sums)))
+    assert {i: sorted(int(d) for d in g[g["component"] == 1]["deviation"]) for i, g in got.groupby("vec_id")} == {i: sorted(v) for i, v in far.items()}
+    assert (got["identity_error"] < 1e-8).all()
+    for c in range(k):
+        own = got[got["component"] == c + 1]
+        assert np.allclose(own["explained"], values[c] / values.sum(), rtol=1e-9)
+    return got, sound, centred, values, axes
+
+
+def test_components_match_an_eigensolver(spark):
+    rng = np.random.default_rng(1)
+    data = [(i, list(map(float, v))) for i, v in enumerate(rng.normal(size=(400, 12)) * np.linspace(1, 2, 12) + rng.normal(size=12))]
+    data += [(500, None), (501, []), (502, [1.0] * 11 + [None]), (503, [float("nan")] * 12), (504, [float("inf")] * 12), (505, [1e30] * 12), (7, data[0][1])]
+    got, sound, centred, values, axes = check_whitening(spark, data)
+    for c in range(8):
+        want = centred @ axes[:, c] / np.sqrt(values[c])
+        have = got[(got["component"] == c + 1) & (got["vec_id"] != 7)].set_index("vec_id")["whitened"]
+        want = {i: w for (i, _), w in zip(sound, want) if i != 7}
+        sign = np.sign(have[0] * want[0])
+        assert max(abs(have[i] * sign - w) for i, w in want.items()) < 1e-9
+
+
+def test_equal_eigenvalues_low_rank_and_wide_ranges(spark):
+    corners = [[float(s) if j == i else 0.0 for j in range(10)] for i in range(10) for s in (-1, 1)]
+    check_whitening(spark, list(enumerate(corners)))  # all eigenvalues equal
+    rng = np.random.default_rng(2)
+    flat = rng.integers(-9, 9, size=(60, 3)) @ rng.integers(-9, 9, size=(3, 9))
+    check_whitening(spark, [(i, list(map(float, v))) for i, v in enumerate(flat)])  # three components only
+    steep = rng.normal(size=(300, 6)) * 10.0 ** np.arange(6)
+    check_whitening(spark, [(i, list(map(float, v))) for i, v in enumerate(steep)], wanted=6)
+
+
+def test_search_ends_early_when_little_variance_is_left(spark, monkeypatch):
+    passes = []
+    plain = whitening.product
+    monkeypatch.setattr(whitening, "product", lambda *a: passes.append(1) or plain(*a))
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(500, 40)) * np.array([50.0, 30.0] + [0.02] * 38)
+    check_whitening(spark, [(i, list(map(float, v))) for i, v in enumerate(data)], wanted=2)
+    assert len(passes) < 12
+
+
+def test_whitening_of_little(spark):
+    assert whitening.whiten(vectors(spark, [])).count() == 0
+    assert whitening.whiten(vectors(spark, [(1, [1.0, 2.0])] * 3)).count() == 0
+    assert whitening.whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [3.0, 2.0]), (3, [1.0])])).count() == 2
+
+
+def test_exact_deviation_beyond_64_bits():
+    x = np.array([[10**12, -(10**12)], [5, 7]])
+    got = whitening._squared_deviation(x, 2, [int(s) for s in x.sum(axis=0)]).to_pylist()
+    assert [int(v) for v in got] == [sum((2 * int(a) - int(s)) ** 2 for a, s in zip(row, x.sum(axis=0))) for row in x]
