@@ -25,12 +25,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def registered(spark: SparkSession, path: str) -> str:
+    """``path``, noted as one that ``release`` deletes."""
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, which also cuts its lineage."""
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = registered(spark, new_path(spark, name))
     df.write.parquet(path)
-    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

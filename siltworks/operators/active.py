@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.joins import join_small
 from siltworks.functions.ranks import hash_cuts, shuffle_key
-from siltworks.functions.scratch import materialize
+from siltworks.functions.scratch import materialize, new_path, registered
 from siltworks.operators.features import features_for
 from siltworks.operators.models import Classifier, evaluate, train
 from siltworks.schema import HISTORY, UNLABELED
@@ -118,40 +118,46 @@ def al_cycle(
 ) -> tuple[DataFrame, Classifier]:
     """Refit, evaluate, pick, move: ``n_iterations + 1`` evaluations, fewer when the pool runs dry.
 
-    Term counts are computed once and written to shared storage.  The only state that
-    grows is the list of picked ids (``n_iterations * batch``); every round plans from
-    the stored table, so lineage stays flat and lost executors cost one stage.
+    The state of the loop is two stored tables: all rows with their counted terms (or
+    fields, or vectors), written once, and ``selected`` (id, iteration), to which every
+    round adds its picks.  Labeled rows and the rest of the pool are semi and anti joins
+    with it, so no pick reaches the driver and lineage stays flat.  The features are fitted
+    anew on the labeled rows of each round, the keys of tabular rows too; the pool is
+    scored inside its rows.  Pool rows without an id cannot be picked and are left out.
     Returns the history and the final classifier.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {STRATEGIES}")
     spark = seed.sparkSession
     features = features_for(seed, modality, mode, max_features=max_features)
-    parts = [features.prepare(df).withColumn("_part", F.lit(name)) for name, df in (("seed", seed), ("pool", pool), ("test", test))]
+    named = (("seed", seed), ("pool", pool.filter("id IS NOT NULL")), ("test", test))
+    parts = [features.prepare(df).withColumn("_part", F.lit(name)) for name, df in named]
     stored = materialize(reduce(DataFrame.unionByName, parts), "prepared")
     sizes = {r["_part"]: r["count"] for r in stored.groupBy("_part").count().collect()}
     left, n_labeled = sizes.get("pool", 0), sizes.get("seed", 0)
-    test_rows, pool_rows = stored.filter("_part = 'test'"), stored.filter("_part = 'pool'")
-    # held-out labels are read every round; they are narrow
-    truth = test_rows.select("id", "label")
-    picked: list[int] = []
+    seed_rows, pool_rows, test_rows = (stored.filter(F.col("_part") == name) for name in ("seed", "pool", "test"))
+    selected = registered(spark, new_path(spark, "selected"))
+    id_type = stored.select("id").schema["id"].dataType.simpleString()
     records = []
     for iteration in range(n_iterations + 1):
-        in_labeled = (F.col("_part") == "seed") | ((F.col("_part") == "pool") & F.col("id").isin(picked))
-        classifier = train(stored.filter(in_labeled), features, model, n_labeled)
-        scored = classifier.classify(test_rows).join(truth, "id")
+        labeled, rest = seed_rows, pool_rows
+        if iteration:
+            # n_iterations * batch rows at most
+            picked = F.broadcast(spark.read.schema(f"id {id_type}, iteration int").parquet(selected).select("id"))
+            labeled = seed_rows.unionByName(pool_rows.join(picked, "id", "left_semi").select(*pool_rows.columns))
+            rest = pool_rows.join(picked, "id", "left_anti")
+        classifier = train(labeled, features, model, n_labeled)
+        scored = classifier.probabilities(test_rows, ("id", "label")).withColumn("prediction", classifier._best())
         metrics = evaluate(scored).first()
         records.append((iteration, n_labeled, metrics["accuracy"], metrics["f1"], strategy, modality, model))
         if iteration == n_iterations or left == 0:
             break
-        rest = pool_rows.filter(~F.col("id").isin(picked)) if picked else pool_rows
         take = min(batch, left)
         if strategy == "random":
             chosen = query_random(rest, take, f"{salt}:{iteration}")
         else:
-            probabilities = classifier.probabilities(rest)
-            chosen = (query_entropy if strategy == "entropy" else query_margin)(probabilities, take)
-        picked += [r["id"] for r in chosen.select("id").collect()]
+            chosen = (query_entropy if strategy == "entropy" else query_margin)(classifier.probabilities(rest), take)
+        chosen.select("id").write.mode("overwrite").parquet(f"{selected}/iteration={iteration}")
         left -= take
         n_labeled += take
     classifier.metadata = {

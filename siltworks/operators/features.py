@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltworks.functions.joins import BROADCAST_ROWS, join_small
+from siltworks.functions.joins import join_small
+from siltworks.functions.scratch import new_path, registered
 from siltworks.functions.stats import one_row
 from siltworks.functions.text import bigrams, term_counts, tokens
 
@@ -69,15 +72,29 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, n_docs: int | Column, col: st
     return rows.select(id, "norm", F.explode("es").alias("e")).select(id, "e.term", "e.idx", (F.col("e.w") / F.col("norm")).alias("weight"))
 
 
-@F.udf(VectorUDT())
-def _sparse(size, entries):
-    return Vectors.sparse(size, [(e["idx"], e["weight"]) for e in entries])
+def sparse_row(size: Column | int, indices: Column, values: Column) -> Column:
+    """A sparse vector in the form in which vectors are stored."""
+    size = F.lit(size) if isinstance(size, int) else size
+    return F.struct(F.lit(0).cast("tinyint").alias("type"), size.cast("int").alias("size"), indices.alias("indices"), values.alias("values"))
+
+
+def as_vectors(df: DataFrame, column: str = "features") -> DataFrame:
+    """``df`` stored, its column of ``sparse_row`` read back as vectors.
+
+    Storing is what changes the type, so no row passes through Python.
+    """
+    spark = df.sparkSession
+    path = registered(spark, new_path(spark, "vectors"))
+    df.write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name == column else f.dataType) for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def to_vectors(weights: DataFrame, size: int, id: str = "id") -> DataFrame:
     """Long weights to one sparse vector per row, for classifiers that need vectors."""
     entries = weights.groupBy(id).agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("entries"))
-    return entries.select(id, _sparse(F.lit(size), "entries").alias("features"))
+    row = sparse_row(size, F.transform("entries", lambda e: e["idx"].cast("int")), F.transform("entries", lambda e: e["weight"]))
+    return as_vectors(entries.select(id, row.alias("features")))
 
 
 def scale_stats(df: DataFrame, vec_col: str) -> DataFrame:
@@ -98,23 +115,30 @@ def standard_scale(df: DataFrame, vec_col: str, stats: DataFrame | None = None,
     return fitted.withColumn(out, F.zip_with(centred, F.col("_std"), lambda x, d: x / d)).drop("_mean", "_std")
 
 
+def field_values(fields: Column, keys: list[str]) -> Column:
+    """A map of strings to an array of numbers in key order; missing or bad values are 0."""
+    return F.array(*[F.coalesce(F.element_at(fields, F.lit(k)).try_cast("double"), F.lit(0.0)) for k in keys])
+
+
 def json_numbers(df: DataFrame, keys: list[str], col: str = "text", out: str = "vector") -> DataFrame:
     """JSON objects of numbers to an array in key order; missing or bad values are 0."""
-    fields = F.from_json(col, "map<string,string>")
-    values = [F.coalesce(F.element_at(F.col("_map"), F.lit(k)).try_cast("double"), F.lit(0.0)) for k in keys]
-    return df.withColumn("_map", fields).withColumn(out, F.array(*values)).drop("_map")
+    return df.withColumn("_map", F.from_json(col, "map<string,string>")).withColumn(out, field_values(F.col("_map"), keys)).drop("_map")
 
 
-def json_keys(df: DataFrame, col: str = "text", limit: int = 4096) -> list[str]:
+def map_keys(df: DataFrame, fields: Column, limit: int = 4096) -> list[str]:
     """Sorted distinct keys; refuses key spaces that could not be vector dimensions."""
     # the outer form avoids an inferred filter that would parse every row twice
-    found = df.select(F.explode_outer(F.map_keys(F.from_json(col, "map<string,string>"))).alias("k")).filter("k IS NOT NULL")
+    found = df.select(F.explode_outer(F.map_keys(fields)).alias("k")).filter("k IS NOT NULL")
     keys = found.distinct().limit(limit + 1).collect()
     if len(keys) > limit:
         raise ValueError(f"more than {limit} distinct keys; pass the keys explicitly")
     return sorted(r["k"] for r in keys)
 
 
+def json_keys(df: DataFrame, col: str = "text", limit: int = 4096) -> list[str]:
+    return map_keys(df, F.from_json(col, "map<string,string>"), limit)
+
+
 def tabular_features(df: DataFrame, keys: list[str] | None = None, stats: DataFrame | None = None, col: str = "text") -> DataFrame:
     """JSON rows to scaled vectors."""
     return standard_scale(json_numbers(df, json_keys(df, col) if keys is None else keys, col), "vector", stats)
@@ -126,9 +150,11 @@ def embedding_features(df: DataFrame, vec_col: str = "embedding", stats: DataFra
 
 
 class TermFeatures:
-    """TF-IDF extractor: ``prepare`` once, ``fit`` on labeled rows, score by joins."""
+    """TF-IDF extractor: ``prepare`` once, ``fit`` on labeled rows, weigh terms in the row."""
 
     kind = "tfidf"
+    #: ``attach`` gives stored rows, not vectors
+    in_vectors = False
 
     def __init__(self, max_features: int = MAX_FEATURES, col: str = "text"):
         self.max_features, self.col = max_features, col
@@ -143,74 +169,89 @@ class TermFeatures:
         rows = tfidf_vocabulary(train, self.max_features, self.col).select("term", "idx", idf(n_docs, F.col("df")).alias("idf")).collect()
         self.vocab = sorted(((r["term"], r["idx"], r["idf"]) for r in rows), key=lambda r: r[1])
 
-    def table(self, spark: SparkSession, coefficients: list[list[float]] | None = None) -> DataFrame:
-        """The vocabulary as a table, optionally with one coefficient per class."""
-        if coefficients is None:
-            return spark.createDataFrame(self.vocab or [("", 0, 0.0)], "term string, idx int, idf double")
-        rows = [(t, i, w, [row[i] for row in coefficients]) for t, i, w in self.vocab]
-        return spark.createDataFrame(rows, "term string, idx int, idf double, coef array<double>", verifySchema=False)
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The vocabulary as a table."""
+        return spark.createDataFrame(self.vocab or [("", 0, 0.0)], "term string, idx int, idf double")
+
+    def attach(self, prepared: DataFrame) -> DataFrame:
+        """Replace the term counts by ``features``: a ``sparse_row`` of unit length.
 
-    def _weighted(self, prepared: DataFrame, table: DataFrame) -> DataFrame:
-        exploded = prepared.select("id", F.explode_outer("term_counts").alias("t")).select("id", "t.term", "t.tf")
-        joined = exploded.join(F.broadcast(table) if len(self.vocab) <= BROADCAST_ROWS else table, "term", "left")
-        return joined.withColumn("w", F.coalesce((1.0 + F.log("tf")) * F.col("idf"), F.lit(0.0)))
+        The vocabulary is looked up inside the row, so no row is moved or split.
+        """
+        spark, others = prepared.sparkSession, [c for c in prepared.columns if c != "term_counts"]
+        repeated = F.flatten(F.transform("term_counts", lambda e: F.array_repeat(e["term"], e["tf"].cast("int"))))
+        counter = CountVectorizerModel.from_vocabulary([v[0] for v in self.vocab] or [""], "_terms", "_counts")
+        known = spark.createDataFrame([([v[2] for v in self.vocab] or [0.0],)], "idf array<double>").select("idf").scalar()
+        counted = counter.transform(prepared.withColumn("_terms", repeated)).select(*others, F.unwrap_udt("_counts").alias("_c"), known.alias("_idf"))
+        weights = F.zip_with("_c.indices", "_c.values", lambda i, tf: (1.0 + F.log(tf)) * F.get("_idf", i))
+        weighted = counted.select(*others, "_c", weights.alias("_w"))
+        norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, w: a + w * w))
+        unit = weighted.withColumn("_n", norm)
+        row = sparse_row(max(1, len(self.vocab)), F.col("_c.indices"), F.transform("_w", lambda w: w / F.col("_n")))
+        return unit.select(*others, row.alias("features"))
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
-        rows = (
-            self._weighted(prepared, self.table(prepared.sparkSession))
-            .groupBy("id")
-            .agg(
-                F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", F.col("w").alias("weight"))))).alias("es"),
-                F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-            )
-        )
-        unit = F.transform("es", lambda e: F.struct(e["idx"].alias("idx"), (e["weight"] / F.col("norm")).alias("weight")))
-        return rows.select("id", _sparse(F.lit(max(1, len(self.vocab))), unit).alias("features"))
-
-    def margins(self, prepared: DataFrame, coefficients: list[list[float]], intercepts: list[float]) -> DataFrame:
-        """Linear scores per class without building vectors.
-
-        Each row's terms are summed map-side into one small partial row per document,
-        so the shuffle carries one number per class instead of the terms.
-        """
-        k = len(coefficients)
-        sums = [F.sum(F.col("w") * F.coalesce(F.get("coef", F.lit(c)), F.lit(0.0))).alias(f"_m{c}") for c in range(k)]
-        rows = self._weighted(prepared, self.table(prepared.sparkSession, coefficients)).groupBy("id").agg(F.sum(F.col("w") * F.col("w")).alias("_ss"), *sums)
-        cells = [F.coalesce(F.try_divide(F.col(f"_m{c}"), F.sqrt("_ss")), F.lit(0.0)) + intercepts[c] for c in range(k)]
-        return rows.select("id", F.array(*cells).alias("margins"))
+        """``attach`` with real vectors, stored."""
+        return as_vectors(self.attach(prepared))
+
+
+def sparse_margins(df: DataFrame, coefficients: list[list[float]], intercepts: list[float]) -> DataFrame:
+    """Replace the ``sparse_row`` in ``features`` by ``margins``, one linear score per class, inside the row."""
+    table = df.sparkSession.createDataFrame([(coefficients, intercepts)], "rows array<array<double>>, bias array<double>")
+    s = one_row(table)
+    held = df.withColumn("_rows", s["rows"]).withColumn("_bias", s["bias"])
+    entries = F.arrays_zip("features.indices", "features.values")
+
+    def score(row: Column, c: Column) -> Column:
+        return F.aggregate("_e", F.get("_bias", c), lambda a, e: a + e["values"] * F.get(row, e["indices"]))
+
+    return held.withColumn("_e", entries).withColumn("margins", F.transform("_rows", score)).drop("_rows", "_bias", "_e", "features")
 
 
 class DenseFeatures:
-    """Dense vectors (embeddings, or JSON numbers given ``keys``), scaled on the labeled rows."""
+    """Dense vectors, scaled on the labeled rows: embeddings, or numbers of JSON objects.
+
+    The keys of ``tabular`` rows are those found in the rows given to ``fit``, unless ``keys`` are given.
+    """
 
-    def __init__(self, col: str, keys: list[str] | None = None):
-        self.col, self.keys = col, keys
-        self.kind = "tabular" if keys is not None else "embedding"
+    in_vectors = True
+
+    def __init__(self, col: str, keys: list[str] | None = None, tabular: bool = False):
+        self.col, self.keys, self.given = col, keys, keys is not None
+        self.kind = "tabular" if tabular or self.given else "embedding"
         self.mean: list[float] = []
         self.std: list[float] = []
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        if self.keys is not None:
-            return json_numbers(df, self.keys, self.col).drop(self.col)
+        if self.kind == "tabular":
+            return df.withColumn("fields", F.from_json(self.col, "map<string,string>")).drop(self.col)
         return df.withColumn("vector", F.col(self.col).cast("array<double>")).drop(self.col)
 
     def fit(self, train: DataFrame) -> None:
-        row = scale_stats(train, "vector").first()
-        self.mean, self.std = list(row["mean"]), list(row["std"])
+        if self.kind == "tabular" and not self.given:
+            self.keys = map_keys(train, F.col("fields"))
+        row = scale_stats(self._numbers(train), "vector").first()
+        self.mean, self.std = list(row["mean"] or []), list(row["std"] or [])
+
+    def _numbers(self, prepared: DataFrame) -> DataFrame:
+        if self.kind != "tabular":
+            return prepared
+        return prepared.withColumn("vector", field_values(F.col("fields"), self.keys or [])).drop("fields")
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
-        return self.attach(prepared).select("id", "features")
+        return self.attach(prepared)
 
     def attach(self, prepared: DataFrame) -> DataFrame:
-        """Add ``features`` in place; rows are not moved."""
+        """Replace the numbers by ``features``; rows are not moved."""
         stats = prepared.sparkSession.createDataFrame([(self.mean, self.std)], "mean array<double>, std array<double>")
-        return standard_scale(prepared, "vector", stats).withColumn("features", array_to_vector("scaled")).drop("scaled")
+        scaled = standard_scale(self._numbers(prepared), "vector", stats)
+        return scaled.withColumn("features", array_to_vector("scaled")).drop("scaled", "vector")
 
 
 def features_for(df: DataFrame, modality: str, mode: str = "tfidf", embedding_col: str = "embedding", max_features: int = MAX_FEATURES):
     """The extractor for a modality; anything unknown is treated as text."""
     if modality == "tabular":
-        return DenseFeatures("text", json_keys(df))
+        return DenseFeatures("text", tabular=True)
     if embedding_col in df.columns and (modality in ("image", "audio") or mode in ("sentence", "embedding")):
         return DenseFeatures(embedding_col)
     return TermFeatures(max_features)

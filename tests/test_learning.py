@@ -224,7 +224,7 @@ def test_registered_cycles_are_whole(spark, sf, monkeypatch):
 
     from catalog import learning, reports
     from siltworks.operators.active import STRATEGIES, al_cycle
-    from siltworks.operators.models import estimator
+    from siltworks.operators.models import SVM_ITERATIONS, estimator
 
     told, config = [], []
     monkeypatch.setattr(learning.A, "al_cycle", lambda *a, **k: told.append(signature(al_cycle).bind(*a, **k)) or (None, None))
@@ -234,4 +234,141 @@ def test_registered_cycles_are_whole(spark, sf, monkeypatch):
         bound.apply_defaults()
     assert [b.arguments["n_iterations"] for b in told] == [5, 5]
     assert config[0].iterations == 5 and tuple(config[0].al_strategies) == tuple(STRATEGIES)
-    assert estimator("svm", 10).getClassifier().getMaxIter() == 2000 and estimator("rf", 10).getMaxDepth() == 30
+    assert SVM_ITERATIONS == 2000 and estimator("rf", 10).getMaxDepth() == 30
+
+
+# ---- radial kernels
+
+
+def rings(spark, n=200, seed=0):
+    rng = np.random.default_rng(seed)
+    angle = rng.uniform(0, 2 * np.pi, n)
+    inner = np.arange(n) % 2 == 0
+    radius = np.where(inner, 1.0, 3.0) + rng.normal(0, 0.45, n)
+    x = np.column_stack([radius * np.cos(angle), radius * np.sin(angle)])
+    rows = [(i, list(map(float, x[i])), "in" if inner[i] else "out") for i in range(n)]
+    return x, inner, spark.createDataFrame(rows, "id long, embedding array<double>, label string")
+
+
+def kernel_solver(x, t, gamma, c=1.0):
+    """Plain SMO on the exact kernel; returns the decision function."""
+    k = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(-1))
+    a, g = np.zeros(len(x)), -np.ones(len(x))
+    for _ in range(100_000):
+        up = np.where(((t > 0) & (a < c - 1e-12)) | ((t < 0) & (a > 1e-12)), -t * g, -np.inf)
+        low = np.where(((t > 0) & (a > 1e-12)) | ((t < 0) & (a < c - 1e-12)), -t * g, np.inf)
+        i, j = up.argmax(), low.argmin()
+        if up[i] - low[j] < 1e-6:
+            break
+        d = (up[i] - low[j]) / max(k[i, i] + k[j, j] - 2 * k[i, j], 1e-12)
+        d = min(d, c - a[i] if t[i] > 0 else a[i], a[j] if t[j] > 0 else c - a[j])
+        a[i] += t[i] * d
+        a[j] -= t[j] * d
+        g += t * d * (k[:, i] - k[:, j])
+    bias = (up[i] + low[j]) / 2
+    return lambda y: np.exp(-gamma * ((y[:, None] - x[None]) ** 2).sum(-1)) @ (a * t) + bias
+
+
+def plain_platt(m, t):
+    """Gradient descent on Platt's smoothed loss."""
+    p, n = (t > 0).sum(), (t < 0).sum()
+    want = np.where(t > 0, (p + 1) / (p + 2), 1 / (n + 2))
+    a = b = 0.0
+    for _ in range(20_000):
+        s = 1 / (1 + np.exp(a * m + b))
+        a, b = a - 0.5 * ((want - s) * m).mean(), b - 0.5 * (want - s).mean()
+    return a, b
+
+
+def test_svm_separates_rings_like_an_exact_kernel_solver(spark):
+    x, inner, df = rings(spark)
+    features = X.DenseFeatures("embedding")
+    classifier = M.train(features.prepare(df), features, "svm")
+    rows = M.predict(classifier, df).collect()
+    assert np.mean([r["predicted_label"] == r["label"] for r in rows]) > 0.95
+    linear = M.predict(M.train(features.prepare(df), features, "logreg"), df).collect()
+    assert np.mean([r["predicted_label"] == r["label"] for r in linear]) < 0.75
+
+    z = (x - x.mean(0)) / x.std(0)
+    t = np.where(inner, 1.0, -1.0)
+    gamma = 1 / (2 * z.var())
+    assert classifier.model.basis.gamma == pytest.approx(gamma)
+    held = np.zeros(len(z))
+    for f in range(3):
+        out = np.arange(len(z)) % 3 == f
+        held[out] = kernel_solver(z[~out], t[~out], gamma)(z[out])
+    a, b = plain_platt(held, t)
+    want = 1 / (1 + np.exp(a * kernel_solver(z, t, gamma)(z) + b))
+    got = {r["id"]: r["prob_in"] for r in rows}
+    gap = np.abs(np.array([got[i] for i in range(len(z))]) - want)
+    assert gap.mean() < 0.03 and gap.max() < 0.2
+
+
+def test_svm_of_several_classes_and_after_saving(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    centres = {"a": (0, 0), "b": (6, 0), "c": (0, 6), "d": (6, 6)}
+    rows = [(i, [float(v) for v in np.array(centres[k]) + rng.normal(0, 0.7, 2)], k) for i, k in enumerate("abcd" * 12)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>, label string")
+    features = X.DenseFeatures("embedding")
+    classifier = M.train(features.prepare(df), features, "svm", directions=64)
+    out = M.predict(classifier, df).collect()
+    assert all(r["predicted_label"] == r["label"] for r in out)
+    assert all(sum(r[f"prob_{k}"] for k in "abcd") == pytest.approx(1, abs=5e-4) for r in out)
+    loaded = M.load_model(M.save_model(classifier, str(tmp_path / "m"), spark), spark)
+    assert sorted(M.predict(loaded, df).collect()) == sorted(out)
+
+
+def test_sigmoids_match_a_plain_fit(spark):
+    from siltworks.operators.kernel import platt
+
+    rng = np.random.default_rng(2)
+    m = rng.normal(0, 2, 400)
+    t = np.where(rng.uniform(size=400) < 1 / (1 + np.exp(-1.5 * m + 0.4)), 1.0, -1.0)
+    rows = [(p, float(v) * (p + 1), bool(s > 0)) for p in range(2) for v, s in zip(m, t)]
+    got = platt(spark.createDataFrame(rows, "pair int, m double, positive boolean"), 3)
+    a, b = plain_platt(m, t)
+    assert got[0] == pytest.approx((a, b), abs=1e-2) and got[1] == pytest.approx((a / 2, b), abs=1e-2)
+    assert got[2][0] == 0.0  # no margins: one half for everything
+
+
+# ---- the loop's state
+
+
+def python_nodes(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [w for w in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "PythonUDF") if w in plan]
+
+
+def test_text_plans_hold_no_python(spark, monkeypatch):
+    df = corpus(spark, 3)
+    features = X.TermFeatures(max_features=60)
+    for model in ("logreg", "rf"):
+        seen = []
+        for module in (M, X):
+            monkeypatch.setattr(module, "as_vectors", lambda d, c="features", plain=X.as_vectors: seen.append(python_nodes(d)) or plain(d, c), raising=False)
+        classifier = M.train(features.prepare(df), features, model)
+        plan = M.predict(classifier, df)
+        monkeypatch.undo()
+        assert python_nodes(plan) == [] and seen and not any(seen)
+        if model == "logreg":  # scored where the rows are
+            assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_key_that_only_a_pick_brings_is_learnt(spark):
+    seed = unified(spark, ['{"a": 1}', '{"a": 2}', '{"a": 8}', '{"a": 9}'], ["x", "x", "y", "y"])
+    rows = [(10 + i, '{"a": 5, "late": %d}' % (i % 2), "xy"[i % 2], "tabular", "s", None) for i in range(12)]
+    pool = spark.createDataFrame(rows + [(None, "{}", "x", "tabular", "s", None)], seed.schema)
+    test = spark.createDataFrame([(50 + r[0], *r[1:]) for r in rows], seed.schema)
+    history, classifier = A.al_cycle(seed, pool, test, "entropy", n_iterations=3, batch=4, modality="tabular")
+    got = history.collect()
+    assert [r["n_labeled"] for r in got] == [4, 8, 12, 16]
+    assert classifier.features.keys == ["a", "late"] and got[-1]["accuracy"] == 1.0 and got[0]["accuracy"] < 1.0
+
+
+def test_cycle_keeps_no_picks_in_its_plans(spark, monkeypatch):
+    seed, pool, test = parts(A.stratified_split(corpus(spark, 3), seed_size=8))
+    plans = []
+    plain = A.train
+    monkeypatch.setattr(A, "train", lambda rows, *a: plans.append(rows._jdf.queryExecution().analyzed().toString()) or plain(rows, *a))
+    A.al_cycle(seed, pool, test, "margin", n_iterations=2, batch=3, max_features=60)
+    assert len(plans) == 3 and not any(" IN (" in p for p in plans) and "LeftSemi" in plans[-1]
