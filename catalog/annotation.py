@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import STAMP, query, view
+from siltworks.functions.scratch import new_path
 from siltworks.operators import annotate as N
 from siltworks.operators import quality as Q
 from siltworks.operators import review as V
+from siltworks.operators.labelsink import LabelSink
 
 _COLS = "id, text, label, modality, source, collected_at"
 CLASSES = ["good", "bad"]
@@ -174,6 +176,23 @@ def resume_labeling(spark, sf):
     return N.resume_labeling(todo, view(spark, sf, "tagged").filter("confidence >= 0.5")).select("id", "text")
 
 
+@query(
+    "append_labels",
+    """SELECT id, CASE WHEN label <> 'unlabeled' OR label IS NULL THEN label WHEN n % 2 = 0 THEN 'good' ELSE 'bad' END AS label,
+              CASE WHEN label = 'unlabeled' THEN (n % 101) / 1e2 END AS confidence
+       FROM (SELECT id, label, length(coalesce(text, '')) AS n FROM dirty)""",
+    ["dirty"],
+)
+def append_labels(spark, sf):
+    """Labels written by a run that ends after two batches and by the one that goes on; half of the rows arrive in between."""
+    df = view(spark, sf, "dirty").select("id", "text", "label", "modality")
+    sink = LabelSink(spark, new_path(spark, "labels"))
+    rows = max(1, df.count() // 8)
+    sink.append(df.filter("id % 4 < 2"), CLASSES, length_labeler, batch_rows=rows, most_batches=2)
+    sink.append(df, CLASSES, length_labeler, batch_rows=rows)
+    return sink.table(df).select("id", "label", "confidence")
+
+
 @query(
     "labeling_progress",
     f"""WITH {_TODO}, {_RANKED}, {_ANSWER},

@@ -388,7 +388,7 @@ def align_by_id(spark, sf):
 
 def _asof_sql(tolerance: str) -> str:
     return f"""
-    WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type IN ('purchase', 'error')),
+    WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type IN ('purchase', 'error', 'signup')),
     r AS (SELECT user_id, ts, max(event_id) AS rid FROM events WHERE event_type IN ('view', 'click') GROUP BY user_id, ts),
     j AS (SELECT l.event_id, l.user_id, l.ts, r.rid, r.ts AS rts FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.ts)
     SELECT event_id, user_id, CASE WHEN {tolerance} THEN rid END AS right_id, CASE WHEN {tolerance} THEN date_diff('microsecond', rts, ts) END AS gap_micros FROM j"""
@@ -396,7 +396,7 @@ def _asof_sql(tolerance: str) -> str:
 
 def _asof(spark, sf, tolerance):
     events = table(spark, sf, "events")
-    left = events.filter("event_type IN ('purchase', 'error')").select("event_id", "user_id", "ts")
+    left = events.filter("event_type IN ('purchase', 'error', 'signup')").select("event_id", "user_id", "ts")
     right = events.filter("event_type IN ('view', 'click')").select(F.col("event_id").alias("id"), "user_id", "ts")
     out = L.align_asof(left, right, "user_id", "ts", tolerance)
     return out.select("event_id", "user_id", "right_id", F.timestamp_diff("MICROSECOND", "right_ts", "ts").alias("gap_micros"))

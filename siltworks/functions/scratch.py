@@ -18,15 +18,16 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/siltworks"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith("file:") or "://" not in warehouse
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return warehouse + "/siltworks"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def registered(spark: SparkSession, path: str) -> str:
-    """``path``, noted as one that ``release`` deletes."""
+    """A folder of its own for ``name``, which ``release`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
@@ -34,7 +35,7 @@ def registered(spark: SparkSession, path: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, which also cuts its lineage."""
     spark = df.sparkSession
-    path = registered(spark, new_path(spark, name))
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -126,44 +126,83 @@ def outside_z(length: Column, profile: Column, k: float = 3.0) -> Column:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float], bound: int = 1_000_000, accuracy: int = 10000) -> list[float | None]:
-    """Exact linear-interpolated quantiles of any numeric column.
-
-    Up to ``bound`` values the built-in exact percentile does it.  Beyond that every
-    wanted order statistic is closed in by counting values in ``accuracy`` equal steps of an
-    interval and going on in the step that holds it, until one value is left; a heavy value
-    among many others costs nothing extra.  Only the counts per step reach the driver.
+    """Exact linear-interpolated quantiles of one numeric column; see ``column_quantiles``."""
+    return column_quantiles(df, [column], probs, bound, accuracy)[column]
+
+
+def column_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], bound: int = 1_000_000, accuracy: int = 10000
+) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles of any number of numeric columns in common passes.
+
+    Columns of up to ``bound`` values are left to the built-in exact percentile, in one job.
+    All wanted order statistics of all other columns are closed in together: one pass counts values per
+    column, interval and equal step, every statistic goes on in the step that holds it, and
+    statistics of a column that lie in one interval share its counts.  A heavy value among many
+    others costs nothing extra.  The number of passes depends on the values only, not on
+    how many columns or quantiles there are; ``accuracy`` steps are shared out among the
+    intervals, so the counts that reach the driver stay bounded too.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    head = values.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
-    if head["n"] == 0:
-        return [None] * len(probs)
-    if head["n"] <= bound:
-        return list(values.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
-    found: dict[int, float] = {}
-    for p in probs:
-        position = p * (head["n"] - 1)
-        for rank in (math.floor(position), math.ceil(position)):
-            if rank not in found:
-                found[rank] = _order_statistic(values, rank, head["low"], head["high"], accuracy)
-    at = [p * (head["n"] - 1) for p in probs]
-    return [found[math.floor(x)] + (found[math.ceil(x)] - found[math.floor(x)]) * (x - math.floor(x)) for x in at]
-
-
-def _order_statistic(values: DataFrame, rank: int, low: float, high: float, bins: int) -> float:
-    """The value with ``rank`` smaller or equal ones before it, between ``low`` and ``high``."""
-    below = 0
-    while low < high:
-        width = high / bins - low / bins
-        # values too close together to be divided are counted one by one
-        step = F.least(F.floor(F.col("v") / width - low / width), F.lit(bins - 1)) if width > 1e-300 else F.col("v")
-        inside = values.filter(F.col("v").between(low, high))
-        counts = inside.groupBy(step.alias("step")).agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        for row in sorted(counts.collect(), key=lambda r: r["low"]):
-            if below + row["n"] > rank:
-                low, high = row["low"], row["high"]
-                break
-            below += row["n"]
-    return low
+    if not columns:
+        return {}
+    cell = [quoted_double(c) for c in columns]
+    heads = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(f"c{i}") for i, v in enumerate(cell)]).first()
+    out: dict[str, list[float | None]] = {}
+    few = [i for i in range(len(columns)) if 0 < heads[i]["n"] <= bound]
+    if few:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        row = df.agg(*[F.percentile(cell[i], wanted).alias(f"c{i}") for i in few]).first()
+        out |= {columns[i]: list(row[f"c{i}"]) for i in few}
+    many = [i for i in range(len(columns)) if heads[i]["n"] > bound]
+    ranks = {i: sorted({r for p in probs for r in (math.floor(p * (heads[i]["n"] - 1)), math.ceil(p * (heads[i]["n"] - 1)))}) for i in many}
+    found = _order_statistics(df, cell, {i: (heads[i]["low"], heads[i]["high"], ranks[i]) for i in many}, accuracy)
+    for i in many:
+        at = [p * (heads[i]["n"] - 1) for p in probs]
+        low = [found[i, math.floor(x)] for x in at]
+        high = [found[i, math.ceil(x)] for x in at]
+        out[columns[i]] = [a + (b - a) * (x - math.floor(x)) if a != b else a for a, b, x in zip(low, high, at)]
+    return {c: out.get(c, [None] * len(probs)) for c in columns}
+
+
+def quoted_double(name: str) -> Column:
+    """A column as double, by its exact name; NaN counts as missing."""
+    value = F.col("`" + name.replace("`", "``") + "`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _order_statistics(df: DataFrame, cells: list[Column], wanted: dict[int, tuple[float, float, list[int]]], accuracy: int) -> dict[tuple[int, int], float]:
+    """{(column, rank): value} for ranks counted from 0, given each column's extremes."""
+    found: dict[tuple[int, int], float] = {}
+    # (column, low, high, values below) -> the ranks to find there
+    open_: dict[tuple[int, float, float, int], list[int]] = {(i, low, high, 0): ranks for i, (low, high, ranks) in wanted.items()}
+    while True:
+        for key in [k for k in open_ if k[1] == k[2]]:
+            found |= {(key[0], r): key[1] for r in open_.pop(key)}
+        if not open_:
+            return found
+        keys = list(open_)
+        bins = max(16, accuracy // len(keys))
+        table = df.sparkSession.createDataFrame([(n, *k[:3]) for n, k in enumerate(keys)], "interval int, c int, low double, high double")
+        used = sorted({k[0] for k in keys})
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), cells[i].alias("v")) for i in used])).alias("e")).select("e.c", "e.v")
+        inside = long.filter("v IS NOT NULL").join(F.broadcast(table), "c").filter("v BETWEEN low AND high")
+        width = F.col("high") / bins - F.col("low") / bins
+        # values too close together to be divided are counted one by one, infinite ones too
+        step = F.when((width > 1e-300) & (width < float("inf")), F.least(F.floor(F.col("v") / width - F.col("low") / width), F.lit(bins - 1)).cast("double"))
+        counts = inside.withColumn("step", F.coalesce(step, "v")).groupBy("interval", "step").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        steps: dict[int, list] = {}
+        for row in counts.collect():
+            steps.setdefault(row["interval"], []).append(row)
+        closer: dict[tuple[int, float, float, int], list[int]] = {}
+        for n, key in enumerate(keys):
+            below, left = key[3], list(open_[key])
+            for row in sorted(steps[n], key=lambda r: r["low"]):
+                here = [r for r in left if r < below + row["n"]]
+                if here:
+                    closer.setdefault((key[0], row["low"], row["high"], below), []).extend(here)
+                    left = left[len(here) :]
+                below += row["n"]
+        open_ = closer
 
 
 def running_totals(df: DataFrame, order: str, columns: list[str], block: int = 65536) -> DataFrame:

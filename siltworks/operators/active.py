@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.joins import join_small
 from siltworks.functions.ranks import hash_cuts, shuffle_key
-from siltworks.functions.scratch import materialize, new_path, registered
+from siltworks.functions.scratch import materialize, new_path
 from siltworks.operators.features import features_for
 from siltworks.operators.models import Classifier, evaluate, train
 from siltworks.schema import HISTORY, UNLABELED
@@ -136,7 +136,7 @@ def al_cycle(
     sizes = {r["_part"]: r["count"] for r in stored.groupBy("_part").count().collect()}
     left, n_labeled = sizes.get("pool", 0), sizes.get("seed", 0)
     seed_rows, pool_rows, test_rows = (stored.filter(F.col("_part") == name) for name in ("seed", "pool", "test"))
-    selected = registered(spark, new_path(spark, "selected"))
+    selected = new_path(spark, "selected")
     id_type = stored.select("id").schema["id"].dataType.simpleString()
     records = []
     for iteration in range(n_iterations + 1):

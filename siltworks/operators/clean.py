@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import (
-    exact_quantiles,
+    column_quantiles,
     length_counts,
     length_profile,
     one_row,
@@ -132,23 +132,21 @@ def cleaning_log(df: DataFrame, strategy: str, text: str = "text") -> DataFrame:
 
 
 def impute_median(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Fill NULLs of numeric columns with the exact median."""
-    for c in numeric_columns(df) if cols is None else cols:
-        median = exact_quantiles(df, c, [0.5])[0]
-        if median is not None:
-            df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(median)))
-    return df
+    """Fill NULLs of numeric columns with the exact median; all medians come from common passes."""
+    medians = column_quantiles(df, numeric_columns(df) if cols is None else cols, [0.5])
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, (m,) in medians.items() if m is not None}
+    return df.withColumns(filled) if filled else df
 
 
 def clip_iqr(df: DataFrame, cols: list[str] | None = None, k: float = 1.5) -> DataFrame:
-    """Clamp numeric columns to the IQR fence; NULL stays NULL."""
-    for c in numeric_columns(df) if cols is None else cols:
-        q1, q3 = exact_quantiles(df, c, [0.25, 0.75])
+    """Clamp numeric columns to the IQR fence; NULL stays NULL.  All quartiles come from common passes."""
+    clipped = {}
+    for c, (q1, q3) in column_quantiles(df, numeric_columns(df) if cols is None else cols, [0.25, 0.75]).items():
         if q1 is not None:
             low, high = F.lit(q1 - k * (q3 - q1)), F.lit(q3 + k * (q3 - q1))
             x = F.col(c).cast("double")
-            df = df.withColumn(c, F.when(x.isNotNull(), F.greatest(low, F.least(high, x))))
-    return df
+            clipped[c] = F.when(x.isNotNull(), F.greatest(low, F.least(high, x)))
+    return df.withColumns(clipped) if clipped else df
 
 
 def fix(df: DataFrame, strategy: dict[str, str], cols: list[str] | None = None, text: str = "text", id: str = "id") -> DataFrame:

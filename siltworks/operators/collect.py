@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.joins import SHARE
+from siltworks.functions.membership import mark_members
 from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import stored_groups
 from siltworks.functions.text import fingerprint, is_blank
@@ -62,15 +64,30 @@ def keep_winners(df: DataFrame, groups: DataFrame, key: str, on: list[str], limi
 
     ``groups`` is a stored table (fp, n, *on) with the winner of every key in ``df``.
     A row stays when its key has no copies, or when it agrees with the winner in every
-    column of ``on``, NULLs included.  ``limit`` only chooses the kind of join: so many
+    column of ``on``, NULLs included.  ``limit`` only chooses the plan: so many
     winners (counted, some 50 bytes each) are broadcast and whole rows stay where they
-    are, even if one key has most of them; more are joined by a shuffle.
+    are.  With more of them, the winners of hot keys (one row in ``SHARE`` or more, so at
+    most ``SHARE`` keys) are still broadcast, rows whose key is not in a filter of the other repeated
+    ones stay in place too, and what is left is shuffled: rows of keys that each hold less
+    than that share.
     """
     repeated = groups.filter("n > 1")
-    winners = repeated.select(F.coalesce("fp", F.lit(b"")).alias("_fp"), F.struct(*on).alias("_win"))
+    n_repeated = repeated.count()
+    named = F.coalesce("fp", F.lit(b"")).alias("_fp")
+    winners = repeated.select(named, F.struct(*on).alias("_win"), "n")
     keyed = df.withColumn("_fp", F.coalesce(fingerprint(F.col(key)), F.lit(b"")))
-    joined = keyed.join(winners if repeated.count() > limit else F.broadcast(winners), "_fp", "left")
-    return joined.filter(F.col("_win").isNull() | F.col("_win").eqNullSafe(F.struct(*on))).select(*df.columns)
+    wins = F.col("_win").isNull() | F.col("_win").eqNullSafe(F.struct(*on))
+    if n_repeated <= limit:
+        return keyed.join(F.broadcast(winners.drop("n")), "_fp", "left").filter(wins).select(*df.columns)
+    total = groups.agg(F.sum("n")).first()[0]
+    hot = winners.filter(F.col("n") * SHARE >= total).drop("n")
+    cold = winners.filter(F.col("n") * SHARE < total).drop("n")
+    met = keyed.join(F.broadcast(hot), "_fp", "left")
+    marked = mark_members(met, cold.select("_fp"), "_fp", n_repeated, "_maybe")
+    moves = F.col("_maybe") & F.col("_win").isNull()
+    still = marked.filter(~moves).filter(wins).select(*df.columns)
+    moved = marked.filter(moves).drop("_win", "_maybe").join(cold, "_fp", "left").filter(wins).select(*df.columns)
+    return still.unionByName(moved)
 
 
 def keep_first(df: DataFrame, groups: DataFrame, key: str, order: str, limit: int = REPEATED_LIMIT) -> DataFrame:

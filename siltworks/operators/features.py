@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions.joins import join_small
-from siltworks.functions.scratch import new_path, registered
+from siltworks.functions.scratch import new_path
 from siltworks.functions.stats import one_row
 from siltworks.functions.text import bigrams, term_counts, tokens
 
@@ -84,7 +84,7 @@ def as_vectors(df: DataFrame, column: str = "features") -> DataFrame:
     Storing is what changes the type, so no row passes through Python.
     """
     spark = df.sparkSession
-    path = registered(spark, new_path(spark, "vectors"))
+    path = new_path(spark, "vectors")
     df.write.parquet(path)
     fields = [T.StructField(f.name, VectorUDT() if f.name == column else f.dataType) for f in df.schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siltworks.operators import annotate as N
 from siltworks.operators import quality as Q
 from siltworks.operators import review as V
+from siltworks.operators.labelsink import LabelSink
 from siltworks.schema import LABELED, REVIEWED
 
 CLASSES = ["pos", "neg"]
@@ -47,11 +48,12 @@ def test_lenient_replies_keep_the_good_items(spark):
     assert parsed(spark, reply, strict=False) == [("neg", 0.9), ("neg", 0.5)]
 
 
-def test_batches_are_full_and_truncated(spark):
+@pytest.mark.parametrize("most, shown", [(None, 400), (300, 300)])
+def test_batches_are_full_and_show_whole_texts_or_beginnings(spark, most, shown):
     df = unified(spark, ["x" * 400] * 23)
-    batches = N.label_batches(df, CLASSES, "task").collect()
+    batches = N.label_batches(df, CLASSES, "task", max_chars=most).collect()
     assert sorted(len(b["items"]) for b in batches) == [3, 10, 10]
-    assert all(len(i["text"]) == 300 for b in batches for i in b["items"])
+    assert all(len(i["text"]) == shown for b in batches for i in b["items"])
     assert sorted(i["id"] for b in batches for i in b["items"]) == list(range(23))
     assert "10. x" in next(b for b in batches if len(b["items"]) == 10)["prompt"]
 
@@ -174,3 +176,67 @@ def test_keyword_scores(spark):
     df = unified(spark, ["good good bad", "nothing", None])
     got = [tuple(r) for r in N.auto_label(df, ["good", "bad"], rules={"good": "good", "bad": "bad"}).orderBy("id").select("label", F.round("confidence", 3)).collect()]
     assert got == [("good", 0.667), ("good", 0.0), ("good", 0.0)]
+
+
+# ---- labels written batch by batch
+
+
+def counting_labeler(folder, broken_after=None):
+    """Notes every text it gets in a file of its own; may die after some calls."""
+
+    def labeler(texts):
+        import os
+        import uuid
+
+        if broken_after is not None and len(os.listdir(folder)) >= broken_after:
+            os._exit(1)  # the worker is lost, not just the call
+        for t in texts:
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write(t)
+        return [("pos" if t.endswith(("0", "2", "4")) else "neg", 0.5) for t in texts]
+
+    return labeler
+
+
+def calls(folder):
+    return sorted(p.read_text() for p in folder.iterdir())
+
+
+def test_a_labeling_run_goes_on_where_it_ended(spark, tmp_path):
+    (seen := tmp_path / "calls").mkdir()
+    rows = [(i, f"t{i}", "unlabeled" if i % 5 else "gold", 1) for i in range(60)] + [(None, "no id", "unlabeled", 1)] * 2
+    df = spark.createDataFrame(rows, "id long, text string, label string, n int")
+    labeler = counting_labeler(str(seen))
+    assert LabelSink(spark, f"{tmp_path}/sink").append(df, CLASSES, labeler, batch_rows=10, most_batches=2) == 2
+    assert 0 < len(calls(seen)) < 50
+    assert LabelSink(spark, f"{tmp_path}/sink").append(df, CLASSES, labeler, batch_rows=10) == 3
+    assert LabelSink(spark, f"{tmp_path}/sink").append(df, CLASSES, labeler, batch_rows=10) == 0
+    assert calls(seen) == sorted(r[1] for r in rows if r[2] == "unlabeled")  # every row once
+    got = LabelSink(spark, f"{tmp_path}/sink").table(df)
+    want = N.auto_label(df, CLASSES, counting_labeler(str(seen)))
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_a_batch_that_dies_half_way_is_written_again(spark, tmp_path):
+    (seen := tmp_path / "calls").mkdir()
+    df = unified(spark, [f"t{i}" for i in range(30)])
+    sink = LabelSink(spark, f"{tmp_path}/sink")
+    with pytest.raises(Exception):
+        sink.append(df, CLASSES, counting_labeler(str(seen), broken_after=14), batch_rows=8)
+    finished = sink._log("batch")
+    kept = {r["id"] for r in sink.labels(N.auto_label(df, CLASSES, rules={"pos": "a", "neg": "b"}).schema).collect()}
+    assert len(finished) < 4
+    # rows that come later make batches of their own, those whose batch was lost are labeled anew
+    more = df.unionByName(unified(spark, [f"t{i}" for i in range(30, 35)]).withColumn("id", F.col("id") + 30))
+    sink.append(more, CLASSES, counting_labeler(str(seen)), batch_rows=8)
+    got = sink.table(more).collect()
+    assert sorted(r["id"] for r in got) == list(range(35)) and all(r["confidence"] == 0.5 for r in got)
+    again = [t for t in set(calls(seen)) if calls(seen).count(t) > 1]
+    assert not {int(t[1:]) for t in again} & kept
+
+
+def test_sink_of_nothing(spark, tmp_path):
+    df = unified(spark, ["a"], ["gold"])
+    sink = LabelSink(spark, f"{tmp_path}/sink")
+    assert sink.append(df, CLASSES, rules={"pos": "a", "neg": "b"}) == 0
+    assert [r["label"] for r in sink.table(df).collect()] == ["gold"]

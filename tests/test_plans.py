@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import QUERIES
 from catalog.base import view
@@ -71,6 +72,63 @@ def test_both_joins_keep_the_same_rows(spark):
     assert (1, "b") not in [tuple(r) for r in keep_first(df, groups, "text", "id").collect()]
 
 
+def test_many_repeated_keys_move_only_rows_that_may_repeat(spark):
+    """A third of the rows under one text, many texts twice, many once."""
+    from siltworks.functions.stats import stored_groups
+    from siltworks.operators import collect
+
+    text = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("twice"), (F.col("id") / 6).cast("long"))).otherwise(F.concat(F.lit("once"), "id"))
+    df = spark.range(60_000).select("id", text.alias("text"), F.lit(1).alias("n"))
+    groups = stored_groups(df)
+    near, far = (collect.keep_first(df, groups, "text", "id", limit=n) for n in (10**6, 100))
+    assert near.columns == far.columns == df.columns
+    assert sorted(r["id"] for r in near.collect()) == sorted(r["id"] for r in far.collect())
+    moved = far._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in moved
+    # only texts that occur twice, and few others, are shuffled: neither the hot one nor most single ones
+    total = groups.agg(F.sum("n")).first()[0]
+    cold = groups.filter((F.col("n") > 1) & (F.col("n") * collect.SHARE < total)).select(F.col("fp").alias("_fp"))
+    keyed = df.withColumn("_fp", collect.fingerprint(F.col("text")))
+    possible = collect.mark_members(keyed, cold, "_fp", cold.count(), "maybe").filter("maybe")
+    assert possible.filter("text = 'hot'").count() == 0
+    assert 20_000 <= possible.count() < 23_000 and possible.filter("text LIKE 'twice%'").count() == 20_000
+
+
+def test_membership_stays_bounded_and_loses_nothing(spark):
+    from siltworks.functions.membership import mark_members
+
+    keys = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    rows = spark.range(10_000).select(F.col("id").cast("string").alias("k"), "id").unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    for most in (1, 64, 1 << 21):
+        marked = mark_members(rows, keys, "k", 5000, "maybe", most)
+        assert marked.filter("maybe AND id BETWEEN 0 AND 4999").count() == 5000
+        assert marked.filter("k IS NULL AND maybe").count() == 0
+    assert marked.filter("maybe AND id >= 5000").count() < 400
+
+
+def test_spread_join_equals_a_plain_one(spark):
+    from siltworks.functions.joins import hot_keys, join_spread
+
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 1500)
+    rows = spark.range(9000).select("id", key.alias("k"), (F.col("id") % 2).alias("j"))
+    keyed = spark.range(0, 1500, 2).select(F.col("id").alias("k"), F.lit(0).cast("long").alias("j"), F.lit("v").alias("v"))
+    for how in ("left", "inner"):
+        got, want = join_spread(rows, keyed, ["k", "j"], how), rows.join(keyed, ["k", "j"], how)
+        assert sorted(map(repr, got.select("id", "k", "j", "v").collect())) == sorted(map(repr, want.select("id", "k", "j", "v").collect()))
+    assert {(r["k"], r["j"]) for r in hot_keys(rows, ["k", "j"], 100).collect()} == {(0, 0), (0, 1)}
+
+
+def test_a_release_leaves_no_folder(spark, tmp_path, monkeypatch):
+    from siltworks.functions import scratch
+
+    monkeypatch.setattr(scratch, "shared_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(scratch, "_stored", {})
+    scratch.materialize(spark.range(3), "x")
+    spark.range(3).write.parquet(scratch.new_path(spark, "y"))
+    assert len(list(tmp_path.iterdir())) == 2
+    assert scratch.release(spark) == 2 and not list(tmp_path.iterdir())
+
+
 def test_pooling_hashed_ids(spark):
     from siltworks.operators.collect import combine_sources
     from siltworks.sources.images import image_rows

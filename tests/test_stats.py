@@ -104,3 +104,51 @@ def test_one_heavy_value_among_many(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     probs = [0.0, 0.1, 0.5, 0.93, 1.0]
     assert stats.exact_quantiles(df, "x", probs, bound=10, accuracy=64) == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+
+
+def jobs_of(spark, run):
+    """Spark jobs that ``run`` starts."""
+    context, name = spark.sparkContext, "counted"
+    before = len(context.statusTracker().getJobIdsForGroup(name))
+    context.setJobGroup(name, "counted")
+    try:
+        run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(name)) - before
+
+
+@pytest.mark.parametrize("bound", [50, 10**6])
+def test_quantiles_of_many_columns_share_their_passes(spark, bound):
+    rng = random.Random(4)
+    n = 3000
+    columns = {
+        "a": [rng.gauss(0, 1) for _ in range(n)],
+        "b.c": [rng.paretovariate(0.5) for _ in range(n)],
+        "c": [float(rng.randrange(3)) for _ in range(n)],
+        "d": [7.0] * n,
+        "e": [rng.uniform(0, 1e-3) if i % 3 else 0.25 for i in range(n)],
+        "f": [float(i) for i in range(n)],
+    }
+    schema = ", ".join(f"`{c}` double" for c in columns) + ", few double, none double, whole int"
+    rows = [(*v, float(i) if i < 3 else None, None, i % 11) for i, v in enumerate(zip(*columns.values()))]
+    rows += [(*[None] * len(columns), float("nan"), float("nan"), None)] * 5
+    df = stats.materialize(spark.createDataFrame(rows, schema), "columns")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    names = [*columns, "few", "none", "whole"]
+    found = {}
+    many = jobs_of(spark, lambda: found.update(stats.column_quantiles(df, names, probs, bound, accuracy=3000)))
+    for c, values in columns.items():
+        assert found[c] == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+    assert found["few"] == pytest.approx(list(np.quantile([0.0, 1.0, 2.0], probs))) and found["none"] == [None] * len(probs)
+    assert found["whole"] == pytest.approx(list(np.quantile([i % 11 for i in range(n)], probs)))
+    one = max(jobs_of(spark, lambda c=c: stats.column_quantiles(df, [c], [0.5], bound, accuracy=3000)) for c in ("a", "b.c", "e"))
+    assert many <= one + 6  # a few passes more at most, not one set of passes per column and quantile
+    assert stats.column_quantiles(df, [], probs) == {}
+
+
+def test_infinite_values_are_ranked(spark):
+    values = [float("-inf")] * 30 + [float(i) for i in range(100)] + [float("inf")] * 30
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = stats.exact_quantiles(df, "x", [0.0, 0.5, 1.0], bound=10, accuracy=64)
+    assert got == [float("-inf"), 49.5, float("inf")]
