@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltworks.functions.binding import let
 from siltworks.functions.joins import join_small
 from siltworks.functions.scratch import new_path
 from siltworks.functions.stats import one_row
@@ -184,11 +185,13 @@ class TermFeatures:
         known = spark.createDataFrame([([v[2] for v in self.vocab] or [0.0],)], "idf array<double>").select("idf").scalar()
         counted = counter.transform(prepared.withColumn("_terms", repeated)).select(*others, F.unwrap_udt("_counts").alias("_c"), known.alias("_idf"))
         weights = F.zip_with("_c.indices", "_c.values", lambda i, tf: (1.0 + F.log(tf)) * F.get("_idf", i))
-        weighted = counted.select(*others, "_c", weights.alias("_w"))
-        norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, w: a + w * w))
-        unit = weighted.withColumn("_n", norm)
-        row = sparse_row(max(1, len(self.vocab)), F.col("_c.indices"), F.transform("_w", lambda w: w / F.col("_n")))
-        return unit.select(*others, row.alias("features"))
+
+        def unit(ws: Column) -> Column:
+            norm = F.sqrt(F.aggregate(ws, F.lit(0.0), lambda a, w: a + w * w))
+            return let(norm, lambda n: F.transform(ws, lambda w: w / n))
+
+        row = sparse_row(max(1, len(self.vocab)), F.col("_c.indices"), let(weights, unit))
+        return counted.select(*others, row.alias("features"))
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
         """``attach`` with real vectors, stored."""
@@ -200,12 +203,14 @@ def sparse_margins(df: DataFrame, coefficients: list[list[float]], intercepts: l
     table = df.sparkSession.createDataFrame([(coefficients, intercepts)], "rows array<array<double>>, bias array<double>")
     s = one_row(table)
     held = df.withColumn("_rows", s["rows"]).withColumn("_bias", s["bias"])
-    entries = F.arrays_zip("features.indices", "features.values")
 
-    def score(row: Column, c: Column) -> Column:
-        return F.aggregate("_e", F.get("_bias", c), lambda a, e: a + e["values"] * F.get(row, e["indices"]))
+    def scores(entries: Column) -> Column:
+        def score(row: Column, c: Column) -> Column:
+            return F.aggregate(entries, F.get("_bias", c), lambda a, e: a + e["values"] * F.get(row, e["indices"]))
+
+        return F.transform("_rows", score)
 
-    return held.withColumn("_e", entries).withColumn("margins", F.transform("_rows", score)).drop("_rows", "_bias", "_e", "features")
+    return held.withColumn("margins", let(F.arrays_zip("features.indices", "features.values"), scores)).drop("_rows", "_bias", "features")
 
 
 class DenseFeatures:
