@@ -106,6 +106,28 @@ def tabular_features(spark, sf):
     return out.select("id", F.round(F.get("scaled", F.lit(0)), 6).alias("k"), F.round(F.get("scaled", F.lit(1)), 6).alias("v"))
 
 
+@query(
+    "tabular_wide",
+    """WITH e AS (SELECT event_id AS id, 'k' AS key, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS v FROM events
+                 UNION ALL SELECT event_id, 'user' || user_id, 1e0 FROM events
+                 UNION ALL SELECT event_id, 'slot' || (event_id % 20011), value FROM events),
+        n AS (SELECT count(*) AS n FROM events),
+        d AS (SELECT key, sum(v) / n AS mean, sum(v * v) / n - (sum(v) / n) * (sum(v) / n) AS var FROM e, n GROUP BY key, n),
+        s AS (SELECT key, CASE WHEN var <= 1e-14 * mean * mean THEN 1 ELSE sqrt(var) END AS std FROM d)
+        SELECT id, (SELECT CAST(count(*) AS INT) FROM s) AS size, CAST(count(*) FILTER (v <> 0) AS INT) AS entries, round(sum(v / std), 4) AS total
+        FROM e JOIN s USING (key) GROUP BY id""",
+)
+def tabular_wide(spark, sf):
+    """Records over tens of thousands of keys: a common one, one per user, one per slot."""
+    text = F.concat(
+        F.lit('{"k": '), F.regexp_extract("props", r'"k": (\d+)', 1), F.lit(', "user'), F.col("user_id").cast("string"), F.lit('": 1, "slot'),
+        (F.col("event_id") % 20011).cast("string"), F.lit('": '), F.col("value").cast("string"), F.lit("}"),
+    )
+    rows, _ = X.tabular_rows(table(spark, sf, "events").select(F.col("event_id").alias("id"), text.alias("text")))
+    total = F.aggregate("features.values", F.lit(0.0), lambda a, x: a + x)
+    return rows.select("id", F.col("features.size").alias("size"), F.size("features.values").alias("entries"), F.round(total, 4).alias("total"))
+
+
 @query(
     "features_for",
     f"""WITH {_WORDS}, {_TERMS}, o AS (SELECT DISTINCT unnest(terms) AS term FROM t)

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions.binding import let
-from siltworks.functions.joins import join_small
-from siltworks.functions.scratch import new_path
+from siltworks.functions.joins import join_small, join_spread
+from siltworks.functions.ranks import hash_rank
+from siltworks.functions.scratch import materialize, new_path
 from siltworks.functions.stats import one_row
 from siltworks.functions.text import bigrams, term_counts, tokens
 
@@ -150,6 +151,54 @@ def embedding_features(df: DataFrame, vec_col: str = "embedding", stats: DataFra
     return standard_scale(df, vec_col, stats)
 
 
+WIDE = 4096
+
+
+def key_dictionary(df: DataFrame, fields: str = "fields") -> DataFrame:
+    """(key, idx, mean, std): every key of the maps in ``fields``, numbered, with its moments over all rows.
+
+    Rows without the key, or without a number under it, count as 0; a deviation of zero
+    becomes 1.  Any number of keys; none reaches the driver.
+    """
+    rows = df.count()
+    entries = df.select(F.explode_outer(fields).alias("key", "text")).filter("key IS NOT NULL")
+    number = F.nanvl(F.coalesce(F.col("text").try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    sums = entries.select("key", number.alias("v")).groupBy("key").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"))
+    ranked = hash_rank(materialize(sums, "key-sums"), "key", 0)
+    mean = F.col("s") / rows
+    var = F.greatest(F.col("ss") / rows - mean * mean, F.lit(0.0))
+    # what is left of a constant after the subtraction is rounding
+    std = F.when(var <= 1e-14 * mean * mean, F.lit(1.0)).otherwise(F.sqrt(var))
+    found = ranked.select("key", (F.col("rank") - 1).cast("int").alias("idx"), mean.alias("mean"), F.when(std == 0, 1.0).otherwise(std).alias("std"))
+    return materialize(found, "keys")
+
+
+def wide_rows(df: DataFrame, dictionary: DataFrame, fields: str = "fields") -> DataFrame:
+    """Replace the map in ``fields`` by ``features``: a ``sparse_row`` of its numbers over their keys' deviations.
+
+    Only entries that are there are stored, so rows are not centred; models with an intercept,
+    distances and trees do not see the difference.  Unknown keys are dropped.  Entries are joined
+    with the dictionary, keys that very many rows have by a broadcast, and put together per row.
+    """
+    size = dictionary.count()
+    others = [c for c in df.columns if c != fields]
+    stored = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "wide-rows")
+    number = F.coalesce(F.col("text").try_cast("double"), F.lit(0.0))
+    entries = stored.select("_row", F.explode_outer(fields).alias("key", "text")).select("_row", "key", number.alias("v"))
+    known = join_spread(entries, dictionary.select("key", "idx", "std"), ["key"])
+    entry = F.when(F.col("idx").isNotNull() & (F.col("v") != 0), F.struct("idx", (F.col("v") / F.col("std")).alias("x")))
+    rows = known.groupBy("_row").agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    vector = sparse_row(max(1, size), F.transform("_e", lambda e: e["idx"]), F.transform("_e", lambda e: e["x"]))
+    return stored.drop(fields).join(rows.select("_row", vector.alias("features")), "_row").select(*others, "features")
+
+
+def tabular_rows(df: DataFrame, stats: DataFrame | None = None, col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """JSON objects of any number of keys to (``df`` with ``features``, the key dictionary fitted on ``stats`` or ``df``)."""
+    parsed = lambda d: d.withColumn("fields", F.from_json(col, "map<string,string>"))
+    dictionary = key_dictionary(parsed(df if stats is None else stats).select("fields"))
+    return wide_rows(parsed(df), dictionary), dictionary
+
+
 class TermFeatures:
     """TF-IDF extractor: ``prepare`` once, ``fit`` on labeled rows, weigh terms in the row."""
 
@@ -217,15 +266,19 @@ class DenseFeatures:
     """Dense vectors, scaled on the labeled rows: embeddings, or numbers of JSON objects.
 
     The keys of ``tabular`` rows are those found in the rows given to ``fit``, unless ``keys`` are given.
+    With more than ``WIDE`` of them rows are sparse and the keys stay in a table.
     """
 
-    in_vectors = True
-
     def __init__(self, col: str, keys: list[str] | None = None, tabular: bool = False):
         self.col, self.keys, self.given = col, keys, keys is not None
         self.kind = "tabular" if tabular or self.given else "embedding"
         self.mean: list[float] = []
         self.std: list[float] = []
+        self.dictionary: DataFrame | None = None
+
+    @property
+    def in_vectors(self) -> bool:
+        return self.dictionary is None
 
     def prepare(self, df: DataFrame) -> DataFrame:
         if self.kind == "tabular":
@@ -234,7 +287,12 @@ class DenseFeatures:
 
     def fit(self, train: DataFrame) -> None:
         if self.kind == "tabular" and not self.given:
-            self.keys = map_keys(train, F.col("fields"))
+            found = train.select(F.explode_outer(F.map_keys("fields")).alias("k")).filter("k IS NOT NULL").distinct().limit(WIDE + 1).count()
+            self.dictionary = key_dictionary(train) if found > WIDE else None
+            if self.dictionary is not None:
+                self.keys, self.mean, self.std = None, [], []
+                return
+            self.keys = map_keys(train, F.col("fields"), WIDE)
         row = scale_stats(self._numbers(train), "vector").first()
         self.mean, self.std = list(row["mean"] or []), list(row["std"] or [])
 
@@ -244,10 +302,12 @@ class DenseFeatures:
         return prepared.withColumn("vector", field_values(F.col("fields"), self.keys or [])).drop("fields")
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
-        return self.attach(prepared)
+        return self.attach(prepared) if self.in_vectors else as_vectors(self.attach(prepared))
 
     def attach(self, prepared: DataFrame) -> DataFrame:
-        """Replace the numbers by ``features``; rows are not moved."""
+        """Replace the numbers by ``features``; rows are not moved, unless they are wide."""
+        if self.dictionary is not None:
+            return wide_rows(prepared, self.dictionary)
         stats = prepared.sparkSession.createDataFrame([(self.mean, self.std)], "mean array<double>, std array<double>")
         scaled = standard_scale(self._numbers(prepared), "vector", stats)
         return scaled.withColumn("features", array_to_vector("scaled")).drop("scaled", "vector")

@@ -372,3 +372,50 @@ def test_cycle_keeps_no_picks_in_its_plans(spark, monkeypatch):
     monkeypatch.setattr(A, "train", lambda rows, *a: plans.append(rows._jdf.queryExecution().analyzed().toString()) or plain(rows, *a))
     A.al_cycle(seed, pool, test, "margin", n_iterations=2, batch=3, max_features=60)
     assert len(plans) == 3 and not any(" IN (" in p for p in plans) and "LeftSemi" in plans[-1]
+
+
+# ---- wide records
+
+
+def wide(spark, n=300, width=7000):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(n):
+        good = i % 2 == 0
+        cells = {f"key{k}": int(rng.integers(1, 5)) for k in rng.choice(width, 40, replace=False)}
+        cells |= {"common": 5.0 if good else 1.0, "flat": 3}
+        rows.append((i, "{" + ", ".join(f'"{k}": {v}' for k, v in cells.items()) + "}", "good" if good else "bad"))
+    return rows, spark.createDataFrame(rows, "id long, text string, label string")
+
+
+def test_more_keys_than_dimensions_of_a_dense_vector(spark, tmp_path):
+    import json
+
+    rows, df = wide(spark)
+    out, dictionary = X.tabular_rows(df.unionByName(spark.createDataFrame([(None, "{}", "x"), (None, "junk", "x"), (7, None, "x")], df.schema)))
+    keys = {r["key"]: r for r in dictionary.collect()}
+    n = len(rows) + 3
+    values = {k: np.array([float(json.loads(t).get(k, 0)) for _, t, _ in rows] + [0.0] * 3) for k in ("common", "flat", *list(keys)[:20])}
+    assert sorted(r["idx"] for r in keys.values()) == list(range(len(keys))) and len(keys) > X.WIDE
+    for k, v in values.items():
+        assert keys[k]["mean"] == pytest.approx(v.mean()) and keys[k]["std"] == pytest.approx(v.std() or 1.0)
+    got = out.collect()
+    assert len(got) == n
+    for r in got:
+        cells = json.loads(r["text"]) if r["text"] not in (None, "junk") else {}
+        want = sorted((keys[k]["idx"], v / keys[k]["std"]) for k, v in cells.items())
+        assert r["features"]["indices"] == [i for i, _ in want] and r["features"]["values"] == pytest.approx([x for _, x in want])
+
+    features = X.features_for(df, "tabular")
+    classifier = M.train(features.prepare(df), features)
+    assert features.keys is None and not features.in_vectors
+    loaded = M.load_model(M.save_model(classifier, str(tmp_path / "m"), spark), spark)
+    for one in (classifier, loaded):
+        said = M.predict(one, df).collect()
+        assert len(said) == len(rows) and np.mean([r["predicted_label"] == r["label"] for r in said]) == 1.0
+
+
+def test_constant_keys_of_wide_rows_get_a_deviation_of_one(spark):
+    df = spark.createDataFrame([(i, '{"a": 0.1}') for i in range(7)], "id long, text string")
+    assert X.tabular_rows(df)[1].first()["std"] == 1.0
+    assert X.tabular_rows(df.limit(0))[0].count() == 0
