@@ -387,6 +387,29 @@ def export_tasks(spark, sf):
     )
 
 
+@query(
+    "export_shards",
+    f"""WITH {_MIXED} SELECT CAST(count(*) AS BIGINT) AS tasks, count(*) FILTER {_KNOWN} AS pre_annotated,
+          CAST(ceil(count(*) / 1e3) AS BIGINT) AS shards, CAST(count(*) AS BIGINT) AS listed FROM mixed""",
+    ["dirty"],
+)
+def export_shards(spark, sf):
+    """The files of an export, read back: every one must be a whole JSON array."""
+    path = new_path(spark, "export")
+    classes = ["good", "bad", "click"]
+    Q.write_tasks(Q.export_tasks(_mixed(spark, sf), classes), classes, _TASK, path, shard_tasks=1000)
+    files = spark.read.schema("value string, shard long").text(f"{path}/tasks", wholetext=True)
+    # null unless the file is an array of objects
+    parsed = F.from_json("value", "array<struct<id:string,predictions:array<struct<score:double>>>>", {"mode": "FAILFAST"})
+    found = files.select(parsed.alias("t")).agg(
+        F.sum(F.size("t")).alias("tasks"),
+        F.sum(F.size(F.filter("t", lambda t: t["predictions"].isNotNull())).cast("long")).alias("pre_annotated"),
+        F.count("t").alias("shards"),
+    )
+    listed = spark.read.schema("shard long, tasks long, pre_annotated long").json(f"{path}/manifest").agg(F.sum("tasks").alias("listed"))
+    return found.withColumn("listed", listed.scalar())
+
+
 @query(
     "export_summary",
     f"WITH {_MIXED} SELECT count(*) AS total, count(*) FILTER {_KNOWN} AS pre_annotated, count(*) FILTER (NOT {_KNOWN}) AS bare FROM mixed",

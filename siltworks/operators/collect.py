@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.functions.joins import SHARE
+from siltworks.functions.markup import visible_text
 from siltworks.functions.membership import mark_members
 from siltworks.functions.scratch import materialize
 from siltworks.functions.stats import stored_groups
@@ -181,15 +182,6 @@ def catalog_top(df: DataFrame, by: str, n: int, id: str = "id", size_bytes: str
     return df.orderBy(F.col(by).desc_nulls_last(), id).limit(n)
 
 
-def visible_text(html: Column) -> Column:
-    """Markup to text: drop script/style bodies and tags, decode common entities."""
-    body = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", " ")
-    body = F.regexp_replace(body, r"(?s)<[^>]*>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        body = F.replace(body, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(body, r"\s+", " "))
-
-
 def html_to_text(df: DataFrame, html_col: str = "html", url_col: str = "url", id_col: str = "id", collected_at: str | None = None) -> DataFrame:
     """Stored pages to unified rows with a ``scrape:<url>`` source.
 

@@ -240,3 +240,18 @@ def test_sink_of_nothing(spark, tmp_path):
     sink = LabelSink(spark, f"{tmp_path}/sink")
     assert sink.append(df, CLASSES, rules={"pos": "a", "neg": "b"}) == 0
     assert [r["label"] for r in sink.table(df).collect()] == ["gold"]
+
+
+def test_export_files_are_whole_arrays(spark, tmp_path):
+    rows = [(i, f'text "{i}"\n<é>', CLASSES[i % 2] if i % 3 else "unlabeled", "text", "s", None, 0.5) for i in range(25)]
+    df = spark.createDataFrame(rows, LABELED).repartition(4)
+    path = Q.write_tasks(Q.export_tasks(df, CLASSES), CLASSES, "t", f"{tmp_path}/x", shard_tasks=10)
+    shards = sorted((tmp_path / "x" / "tasks").glob("shard=*"))
+    arrays = [json.loads(f.read_text()) for s in shards for f in s.glob("part-*")]
+    assert [len(a) for a in arrays] == [10, 10, 5]
+    assert sorted(t["data"]["text"] for a in arrays for t in a) == sorted(r[1] for r in rows)
+    manifest = spark.read.json(f"{path}/manifest").collect()
+    summary = Q.export_summary(df, CLASSES).first()
+    assert sum(r["tasks"] for r in manifest) == summary["total"] and sum(r["pre_annotated"] for r in manifest) == summary["pre_annotated"]
+    Q.write_tasks(Q.export_tasks(df.limit(0), CLASSES), CLASSES, "t", f"{tmp_path}/none")
+    assert spark.read.json(f"{tmp_path}/none/project").first()["total_tasks"] == 0

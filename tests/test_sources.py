@@ -2,9 +2,11 @@
 
 import base64
 import json
+import re
 
 import pytest
 from conftest import unified
+from pyspark.sql import functions as F
 
 from siltworks.functions import scratch
 from siltworks.schema import HISTORY, REVIEWED, UNIFIED
@@ -125,3 +127,42 @@ def test_release_removes_only_stored_tables(spark, tmp_path):
     import os
 
     assert not os.path.exists(path) and os.path.exists(kept)
+
+
+def test_markup_against_the_standard_library(spark):
+    import html as plain
+    from html.entities import html5
+
+    from siltworks.functions.markup import references, visible_text
+
+    pieces = ["&eacute;", "&#x20AC;", "&#8364;", "&#128;", "&#x80;", "&amp;lt;", "&&amp;;", "&unknown;", "&#xD800;", "&#1114112;", "&#0;", "&NotEqualTilde;",
+              "& x", "&", "a&b;c", "&#;", "&#x;", "&CounterClockwiseContourIntegral;", "&Amp;", "&#120120;", "&lt;b&gt;", "plain"]
+    rows = [(p,) for p in pieces] + [("".join(pieces),), (None,), ("",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "h string").coalesce(1).select(visible_text(F.col("h"))).collect()]
+
+    def want(text):
+        if text is None:
+            return None
+        known = re.sub(r"&(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);", lambda m: plain.unescape(m[0]) if m[1][0] == "#" or m[1] + ";" in html5 else m[0], text)
+        return re.sub(r"[ \t\n\x0b\f\r]+", " ", known).strip(" ")
+
+    assert got == [want(r[0]) for r in rows]
+    assert len(references()) > 20_000
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<a title="x > y">link</a>', "link"),
+        ("<a title='1 > \"2\"' href=\"b>c\">link</a> rest", "link rest"),
+        ('<p title="open>one</p> two', "one two"),
+        ("<script>if (a > b) '<p>'</script>kept<!-- <p title=\"x\"> -->", "kept"),
+        ("a<br/>b<hr >c", "a b c"),
+        ("<p " + "x='" + ">" * 50_000 + "'>long</p>" + "<i a=\"b\">y</i>" * 3000, "long" + " y" * 3000),
+        ("<" * 20_000, "<" * 20_000),
+    ],
+)
+def test_tags_with_quoted_attributes(spark, html, text):
+    from siltworks.functions.markup import visible_text
+
+    assert spark.createDataFrame([(html,)], "h string").select(visible_text(F.col("h"))).first()[0] == text
