@@ -16,10 +16,13 @@ generation.  One run at a time may write to a folder.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltworks.functions.joins import join_small
 from siltworks.operators.annotate import Labeler, auto_label, resume_labeling, split_unlabeled
 from siltworks.schema import UNLABELED, has
 
@@ -47,10 +50,12 @@ class LabelSink:
 
     def plan(self, todo: DataFrame, batch_rows: int = BATCH_ROWS) -> list[tuple[int, int]]:
         """File the rows not seen before into batches of about ``batch_rows``; returns all (generation, batch)."""
-        known = self._log("generation")
-        fresh = todo
-        for g in known:
-            fresh = resume_labeling(fresh, self._read(f"todo/generation={g}", todo.schema), self.id)
+        known, fresh = self._log("generation"), todo
+        if known:
+            # who is new is found on ids alone, so texts only move if very many rows are
+            seen = [self._read(f"todo/generation={g}", todo.select(self.id).schema) for g in known]
+            new = resume_labeling(todo.select(self.id), reduce(DataFrame.unionByName, seen), self.id).distinct()
+            fresh = join_small(todo, new.withColumnRenamed(self.id, "_new"), F.col(self.id).eqNullSafe(F.col("_new")), "left_semi")
         size = fresh.count()
         if size:
             g, first = len(known), sum(count for _, count in known.values())
@@ -83,7 +88,9 @@ class LabelSink:
         for g, b in waiting:
             schema = T.StructType([*todo.schema.fields, T.StructField("batch", T.IntegerType())])
             rows = self._read(f"todo/generation={g}", schema).filter(F.col("batch") == b).drop("batch")
-            out = auto_label(rows.repartition(self.spark.sparkContext.defaultParallelism), classes, labeler, rules, batch_size)
+            tasks = self.spark.sparkContext.defaultParallelism
+            spread = rows if rows.rdd.getNumPartitions() >= tasks else rows.repartition(tasks)
+            out = auto_label(spread, classes, labeler, rules, batch_size)
             out.write.mode("overwrite").parquet(f"{self.path}/labels/batch={b}")
             self._note([("batch", b, b, 1)])
         return len(waiting)
