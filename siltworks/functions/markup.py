@@ -16,6 +16,7 @@ from siltworks.functions.binding import let
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 TAG = r"""<[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>"""
 REST = r"(?s)<[^>]*>"
+SPACE = r"[\s\x{A0}]+"
 #: a reference at the start of what follows an ampersand
 _REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);"
 _LAST = 0x10FFFF
@@ -75,4 +76,4 @@ def visible_text(html: Column) -> Column:
     """Markup to text: script and style bodies, comments and tags go, references are decoded, white space is single."""
     body = F.regexp_replace(html, HIDDEN, " ")
     bare = F.regexp_replace(F.regexp_replace(body, TAG, " "), REST, " ")
-    return F.trim(F.regexp_replace(let(bare, decode_references), r"\s+", " "))
+    return F.trim(F.regexp_replace(let(bare, decode_references), SPACE, " "))
