@@ -60,6 +60,7 @@ def bucket_links(
     close: Callable[[str, str], Column],
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
     rank: str | None = None,
+    between: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(a, b): links that connect all ids which some chain of verified pairs connects.
 
@@ -68,8 +69,10 @@ def bucket_links(
     of a bucket are written out: first every row is paired with the first of its bucket
     (by ``rank``, then ``id``; best is one that is likely to be linked to most others);
     buckets that those links make one component hold nothing more to find, and of the
-    others only pairs between different components are tested, inside the join.  ``rows``
-    has one row per bucket and id and is computed twice; ids alone in their bucket go first.
+    others only pairs between different components are tested: by ``between``, which gets
+    the rows of those buckets with their ``root`` and returns (a, b), or else inside a join.
+    ``rows`` has one row per bucket and id and is computed twice; ids alone in their bucket
+    go first.
     """
     first = [F.col(rank)] if rank else []
     others = [F.col(c) for c in rows.columns if c not in (*bucket, id, rank)]
@@ -86,8 +89,11 @@ def bucket_links(
     tagged = shared.join(roots.withColumnRenamed("id", id), id, "left").withColumn("root", F.coalesce("root", F.col(id)))
     tagged = store(tagged, "tagged-buckets")
     mixed = tagged.groupBy(*bucket).agg(F.min("root").alias("_x"), F.max("root").alias("_y")).filter("_x < _y").select(*bucket)
-    left = tagged.join(mixed, bucket, "left_semi").withColumn("_at", F.xxhash64(*bucket))
-    left = store(left, "mixed-buckets", sweep=True)
+    left = tagged.join(mixed, bucket, "left_semi")
+    if between is not None:
+        rest = store(between(store(left, "mixed-buckets", sweep=True)), "cross-links", sweep=True)
+        return star.select("a", "b").union(rest.select("a", "b"))
+    left = store(left.withColumn("_at", F.xxhash64(*bucket)), "mixed-buckets", sweep=True)
     shared_by = left.groupBy(id).agg(F.collect_set("_at").alias("_all"))
     left = left.join(shared_by, id)
     own = [*bucket, "root", "_at", "_all"]

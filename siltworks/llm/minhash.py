@@ -12,6 +12,8 @@ Copies (equal word sequences) are collapsed before anything is joined.  The othe
 bucket when all registers of one of ``BANDS`` bands agree; pairs in a bucket whose sizes and
 register bits allow it are verified on their whole shingle sets: Jaccard similarity of
 ``SIMILARITY`` or more links them.  Classes are the connected components of the links.
+What a comparison with the central row leaves open in a bucket is compared slice by slice;
+a pair of slices gives back the links that join components, never its pairs.
 
 Defined results: null and empty texts and texts of white space only are copies of each
 other; rows with null ids take part; a class is called by its least id, null if it has
@@ -28,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.functions.joins import join_spread
 from siltworks.llm.components import bucket_links, components
 from siltworks.llm.tables import discard, fresh, quoted, store
 
@@ -37,6 +40,8 @@ REGISTERS = BANDS * ROWS
 #: registers that may differ in their two bits: 28.8 of 192 are expected at similarity 0.8
 DIFFERING = 49
 _PLANES = [f"s{k}" for k in range(6)]
+#: rows and shingles in a slice of a bucket, on average
+SLICE_ROWS, SLICE_SHINGLES = 1000, 1_000_000
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]  # fixed mixing constants
 _S27, _S30, _S31 = np.uint64(27), np.uint64(30), np.uint64(31)
@@ -159,6 +164,102 @@ def _plausible(a: str, b: str) -> Column:
     return (small >= SIMILARITY * large) & (differing <= DIFFERING)
 
 
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows sorted by ``keys``, each whole, also where batches cut them."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        values = batch[keys].to_numpy()
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts], cuts):
+            yield batch.iloc[a:b]
+        held = batch.iloc[cuts[-1] if len(cuts) else 0 :]
+    if held is not None:
+        yield held
+
+
+def _open_pairs(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, later rows that may be near it and have another root) of two slices, or of one."""
+    n, root, part = (group[c].to_numpy() for c in ("n", "root", "part"))
+    planes = np.ascontiguousarray(group[_PLANES].to_numpy()).view(np.uint64)
+    two = group["low"].iat[0] != group["high"].iat[0]
+    for a in range(len(group) - 1):
+        size = n[a + 1 :]
+        apart = planes[a + 1 :] ^ planes[a]
+        differing = np.bitwise_count(apart[:, :3] | apart[:, 3:]).sum(axis=1)
+        near = (np.minimum(size, n[a]) >= SIMILARITY * np.maximum(size, n[a])) & (differing <= DIFFERING)
+        near &= root[a + 1 :] != root[a]
+        if two:
+            near &= part[a + 1 :] != part[a]
+        if near.any():
+            yield a, np.flatnonzero(near) + a + 1
+
+
+def _spanning(group: pd.DataFrame) -> list[tuple[int, int]]:
+    """Verified links that join what other links of the group have not joined yet."""
+    id, root = group["id"].tolist(), group["root"].tolist()
+    sizes = group["set"].map(len).to_numpy()
+    ends = np.cumsum(sizes)
+    values, codes = np.unique(np.concatenate(group["set"].tolist()), return_inverse=True)
+    sets = [codes[e - k : e] for e, k in zip(ends, sizes)]
+    parent = {r: r for r in root}
+
+    def top(r):
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    links, present = [], np.zeros(len(values), bool)
+    for a, others in _open_pairs(group):
+        present[sets[a]] = True
+        for b in others.tolist():
+            x, y = top(root[a]), top(root[b])
+            if x != y:
+                common = np.count_nonzero(present[sets[b]])
+                if common >= SIMILARITY * (sizes[a] + sizes[b] - common):
+                    links.append((id[a], id[b]))
+                    parent[x] = y
+        present[sets[a]] = False
+    return links
+
+
+def _links_between(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between rows of one bucket with different roots, fewer than rows per pair of slices.
+
+    ``rows`` is a stored table.  Buckets are cut into slices by a hash of the id, and a task holds two
+    slices at a time.  Shingle sets travel only with rows that have a possible partner there.
+    """
+    held = rows.groupBy("key").agg(F.greatest(F.count(F.lit(1)) / SLICE_ROWS, F.sum("n") / SLICE_SHINGLES).alias("slices"))
+    held = held.select("key", F.ceil("slices").cast("int").alias("slices"))
+    cut = join_spread(rows.select("key", "id", "root", "n", *_PLANES), held, ["key"], "inner")
+    cut = cut.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "id"), "slices").cast("int"))
+    # a row meets its own slice and, in pairs, every other one
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    cut = cut.select(F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "*").drop("other")
+    place = ["key", "low", "high"]
+
+    def possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches, place):
+            alive = np.zeros(len(group), bool)
+            for a, others in _open_pairs(group):
+                alive[a] = True
+                alive[others] = True
+            if alive.any():
+                yield group[alive]
+
+    def spanning(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches, place):
+            yield pd.DataFrame(_spanning(group), columns=["a", "b"], dtype="int64")
+
+    together = lambda df: df.repartition(*[F.col(c) for c in place]).sortWithinPartitions(*place)
+    alive = store(together(cut).mapInPandas(possible, cut.schema), "open-rows", sweep=True)
+    whole = alive.join(sets.withColumnRenamed("content", "id"), "id")
+    return together(whole).mapInPandas(spanning, "a long, b long")
+
+
 def classes(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, th, class_id, first): a row per row of ``df``.
 
@@ -190,13 +291,14 @@ def classes(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         common = F.size(F.array_intersect("a_set", "b_set"))
         return both.filter(common >= SIMILARITY * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
-    roots = components(bucket_links(rows, ["key"], "id", _plausible, verified, rank="rank"), "a", "b")
+    between = lambda left: _links_between(left, sets)
+    roots = components(bucket_links(rows, ["key"], "id", _plausible, verified, "rank", between), "a", "b")
     linked = signed.select(F.col("doc").cast(kind).alias("doc"), "th", "content").join(
         roots.withColumnRenamed("id", "content"), "content", "left"
     )
     grouped = store(linked.select("doc", "th", F.coalesce("root", "content").alias("root")), "document-roots")
     heads = grouped.groupBy("root").agg(F.min("doc").alias("class_id"), F.min(F.struct("doc", "th")).alias("head"))
-    placed = grouped.join(heads, "root")
+    placed = join_spread(grouped, heads, ["root"], "inner")
     return placed.select("doc", "th", "class_id", (F.struct("doc", "th") == F.col("head")).alias("first"))
 
 

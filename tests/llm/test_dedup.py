@@ -275,6 +275,32 @@ def test_minhash_classes_against_all_pairs(spark):
         assert got[i]["first"] == (got[i]["class_id"] == i)
 
 
+@pytest.mark.parametrize("rows", [1000, 7])
+def test_open_buckets_are_compared_in_slices(spark, monkeypatch, rows):
+    """One bucket of texts around the limit: the same components as all pairs give, and few links."""
+    monkeypatch.setattr(minhash, "SLICE_ROWS", rows)
+    rng = random.Random(21)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5])):
+            words[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [shingle_set(t) for t in texts]
+    pairs = [(a, b) for a in range(60) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    signed = store(minhash.signatures(documents(spark, list(enumerate(texts))), "doc_id", "text"), "signed")
+    number = {r["content"]: int(r["doc"]) for r in signed.collect()}
+    bucket = signed.select(F.lit(5).cast("long").alias("key"), F.col("content").alias("id"), F.col("content").alias("root"), "n", *minhash._PLANES)
+    wanted = signed.select("content", "doc", "th")
+    found = minhash._shingle_sets(documents(spark, list(enumerate(texts))), wanted, "doc_id", "text")
+    got = [(number[r["a"]], number[r["b"]]) for r in minhash._links_between(store(bucket, "bucket"), store(found, "sets")).collect()]
+    assert {tuple(sorted(p)) for p in got} <= {tuple(sorted(p)) for p in pairs}
+    assert roots(60, got) == roots(60, pairs) and len(set(roots(60, pairs))) > 1
+    slices = -(-60 // rows)
+    assert len(got) < 60 * slices
+
+
 def test_a_line_repeated_many_times_does_not_hide_a_near_copy(spark):
     rng = random.Random(12)
     docs = []
