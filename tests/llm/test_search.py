@@ -1,7 +1,9 @@
 """WARC archives, the Merkle audit, Hilbert neighbours, and the registered queries together."""
 
+import glob
 import gzip
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -69,6 +71,73 @@ def test_audit_lost_and_added_records(spark):
     assert [r["seq"] for r in warc.audit(a, moved).collect()] == [39]
 
 
+def leaves_of(spark, data):
+    """Stored leaves of one archive whose gzip file holds ``data``."""
+    rows = [(0, seq, at, size, name, hashlib.sha256(data[at : at + size]).hexdigest()) for seq, (at, size, name, _) in enumerate(warc.parse(data))]
+    return store(spark.createDataFrame(rows, "archive long, seq long, offset long, length long, name string, digest string"), "leaves")
+
+
+def records_of(spark, n=60):
+    rows = spark.createDataFrame([(i, f"http://h/{i}", f"<p>page {i}\r\n\r\n text {'x' * i}</p>", "x", "y") for i in range(n)], PAGES)
+    return [r["record"].encode() + b"\r\n\r\n" for r in warc.records(rows).orderBy(F.length("name"), "name").collect()]
+
+
+@pytest.mark.parametrize("kind, want", [
+    ("lost", {30: "lost"}),
+    ("length", {30: "changed"}),
+    ("start", {30: "changed"}),
+    ("longer", {30: "changed"}),
+    ("name", {30: "unreadable"}),
+    ("added", {}),
+])
+def test_damage_in_mid_archive_is_told_from_what_it_moves(spark, kind, want):
+    parts = records_of(spark)
+    other = list(parts)
+    match kind:
+        case "lost":
+            del other[30]
+        case "length":
+            other[30] = other[30].replace(b"Content-Length", b"Content-Lenght")
+        case "start":
+            other[30] = b"X" + other[30][1:]
+        case "longer":
+            other[30] = other[30][:-4] + b" more" + other[30][-4:]
+        case "name":
+            other[30] = other[30].replace(b"Record-ID", b"Record-IX")
+        case "added":
+            other.insert(30, other[3].replace(b"urn:page:3", b"urn:page:new"))
+    got = warc.audit(leaves_of(spark, b"".join(parts)), leaves_of(spark, b"".join(other))).collect()
+    assert {r["seq"]: r["status"] for r in got if r["offset"] is not None and r["status"] != "moved"} == want
+    assert [r["other_name"] for r in got if r["status"] == "added"] == (["urn:page:new"] if kind == "added" else [])
+    assert all(r["name"] == r["other_name"] for r in got if r["status"] in ("moved", "changed"))
+
+
+@pytest.mark.parametrize("cut", [True, False])
+def test_a_broken_stream_is_part_of_the_result(spark, cut):
+    records = store(warc.records(spark.createDataFrame(pages(), PAGES), archive_bytes=20000), "records")
+    path, a = replica(spark, records)
+    archive = sorted(glob.glob(f"{path.removeprefix('file:')}/archive=*"))[1]
+    [file] = glob.glob(f"{archive}/*.gz")
+    content = bytearray(open(file, "rb").read())
+    data, whole = warc.unzipped(bytes(content))
+    assert whole and data == gzip.decompress(content) and warc.unzipped(bytes(content) * 2) == (data * 2, True)
+    content = content[: len(content) // 2] if cut else content[:1000] + bytes([content[1000] ^ 16]) + content[1001:]
+    broken = new_path(spark, "broken").removeprefix("file:")
+    os.makedirs(f"{broken}/{os.path.basename(archive)}")
+    with open(f"{broken}/{os.path.basename(archive)}/part.gz", "wb") as out:
+        out.write(content)
+    number = int(archive.rpartition("=")[2])
+    whole = store(a.filter(F.col("archive") == number), "whole")
+    b = store(warc.read_archives(spark, broken), "leaves")
+    found = warc.audit(whole, b).collect()
+    assert [r for r in found if r["status"] == "unreadable" and r["offset"] is None]  # the stream itself
+    got = {r["seq"]: r["status"] for r in found if r["offset"] is not None}
+    assert got and set(got.values()) <= {"changed", "unreadable", "moved"}
+    # what lies before the damage is intact
+    assert min(got) > 0 and (not cut or set(range(min(got) + 1, whole.count())) == {k for k, v in got.items() if v == "unreadable"} - {min(got)})
+    assert warc.unzipped(b"") == (b"", False) and warc.unzipped(b"no gzip at all") == (b"", False)
+
+
 def test_no_pages(spark):
     records = warc.records(spark.createDataFrame([], PAGES))
     (_, a), (_, b) = replica(spark, records), replica(spark, records)
