@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from siltworks.llm import lines, minhash, quality, suffixes
@@ -174,20 +175,19 @@ def line_corpus(rng):
     return docs
 
 
-def test_lines_against_plain_version(spark):
+def test_lines_against_edit_similarity(spark):
+    """Groups are those of edit similarity alone; hashes play no part in what is expected."""
     docs = line_corpus(random.Random(11))
     got = {r["doc_id"]: r for r in lines.dedup_lines(documents(spark, docs)).collect()}
     places = [(i, k, " ".join(plain_norm(x))) for i, t in docs for k, x in enumerate(t.split("\n"))]
     eligible = [(i, k, n) for i, k, n in places if len(n) >= lines.MIN_CHARS]
     texts = sorted({n for *_, n in eligible})
-    frame = store(spark.createDataFrame([(i, 0, n) for i, n in enumerate(texts)], "h1 long, h2 long, norm string"), "norms")
-    sims = {r["h1"]: r["sim"] for r in lines.simhash(frame, ["h1", "h2"], "norm").collect()}
-    near = lambda a, b: bin((sims[a] ^ sims[b]) & (2**64 - 1)).count("1") <= lines.RADIUS
     pairs = [
         (a, b)
         for a in range(len(texts))
         for b in range(a + 1, len(texts))
-        if near(a, b) and distance(texts[a], texts[b]) <= (1 - lines.SIMILARITY) * max(len(texts[a]), len(texts[b])) + 1e-9
+        if abs(len(texts[a]) - len(texts[b])) <= 9
+        and distance(texts[a], texts[b]) <= (1 - lines.SIMILARITY) * max(len(texts[a]), len(texts[b])) + 1e-9
     ]
     assert pairs
     group = dict(zip(texts, roots(len(texts), pairs)))
@@ -201,17 +201,67 @@ def test_lines_against_plain_version(spark):
         assert (got[i]["n_lines"], got[i]["n_removed"]) == (len(t.split("\n")), len(t.split("\n")) - len(want))
 
 
-def test_simhash_blocks_find_every_near_pair(spark):
+def typo(rng, line):
+    at = rng.choice([k for k, c in enumerate(line) if c.isalpha()])
+    return line[:at] + rng.choice("qxzj".replace(line[at], "")) + line[at + 1 :]
+
+
+def near_lines(rng):
+    """(kind, line, edited line): all with an edit similarity over 0.9."""
+    words = ["".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    pick = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    alone = lambda first, last, n: "".join(chr(rng.randrange(first, last)) for _ in range(n))
+    out = []
+    for n in (5, 7, 10, 14, 20, 50, 100):
+        out += [(f"typo {n}", x, typo(rng, x)) for x in (pick(n) for _ in range(30)) if len(x) >= 20]
+    for n in (10, 20, 50):
+        for k, x in enumerate(pick(n) for _ in range(60)):
+            at = x.index(" ", rng.randrange(len(x) // 2))
+            out.append((f"word {n}", x, x[:at] + " new" + x[at:]) if k % 2 else (f"lost space {n}", x, x[:at] + x[at + 1 :]))
+    for name, first, last in (("han", 0x4E00, 0x5E00), ("thai", 0x0E01, 0x0E2F)):
+        for n in (40, 120):
+            for x in (alone(first, last, n) for _ in range(30)):
+                at = rng.randrange(n)
+                out.append((f"{name} {n}", x, x[:at] + chr(ord(x[at]) + 1) + x[at + 1 :]))
+    return out
+
+
+def test_recall_of_lines_with_one_edit(spark):
+    cases = near_lines(random.Random(5))
+    docs = [(2 * k + side, case[1 + side]) for k, case in enumerate(cases) for side in (0, 1)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    assert not any(got[2 * k] for k in range(len(cases)))  # no line is removed for another family's sake
+    total, found = Counter(c[0] for c in cases), Counter()
+    for k, case in enumerate(cases):
+        found[case[0]] += got[2 * k + 1]
+    assert sum(found.values()) >= 0.95 * len(cases)
+    assert {kind: (found[kind], n) for kind, n in total.items() if found[kind] < 0.85 * n} == {}
+
+
+def test_blocks_are_majorities_of_their_groups(spark):
     rng = random.Random(8)
-    base = [rng.getrandbits(64) for _ in range(30)]
-    values = list({x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for x in base for _ in range(3)})
-    signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    rows = store(lines.block_rows(spark.createDataFrame([(v,) for v in signed], "sim long")), "blocks")
-    near = lambda a, b: F.bit_count(F.col(a + "id").bitwiseXOR(F.col(b + "id"))) <= lines.RADIUS
-    got = bucket_links(rows, ["key"], "sim", near).collect()
-    at = {v: i for i, v in enumerate(signed)}
-    pairs = [(i, j) for i in range(len(values)) for j in range(i) if bin(values[i] ^ values[j]).count("1") <= lines.RADIUS]
-    assert roots(len(values), [(at[r["a"]], at[r["b"]]) for r in got]) == roots(len(values), pairs)
+    rows = [(k, [f"w{rng.randrange(500)}" for _ in range(rng.choice([0, 1, 4, 30, 300]))]) for k in range(12)] + [(99, None)]
+    frame = lines.with_blocks(spark.createDataFrame(rows, "k int, words array<string>"), "words", "w")
+    got = {r["k"]: [r[f"w{g}"] for g in range(lines.GROUPS)] for r in frame.collect()}
+    assert got[99] == [None] * lines.GROUPS
+    for k, words in rows[:-1]:
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+        for g in range(lines.GROUPS):
+            mine = [h for h in hashes if (h - (1 << 64) if h >> 63 else h) % lines.GROUPS == g]
+            want = min(len(mine), 63) << 56
+            for plane, shift in enumerate((0, 3, 6)):
+                for lane in range(7):
+                    if 2 * sum(h >> (8 * lane + shift) & 1 for h in mine) > len(mine):
+                        want |= 1 << (8 * lane + 7 - plane)
+            assert got[k][g] == want
+
+
+def test_very_long_lines(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    texts = [" ".join(words), " ".join(words[:777] + ["new"] + words[778:]), " ".join(["same"] * 60_000), "x" * 100_000]
+    out = lines.dedup_lines(documents(spark, list(enumerate(texts)))).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in out} == {0: 0, 1: 1, 2: 0, 3: 0}
 
 
 def test_long_lines_are_compared_by_words(spark):
