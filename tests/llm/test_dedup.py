@@ -241,9 +241,9 @@ def test_recall_of_lines_with_one_edit(spark):
 def test_blocks_are_majorities_of_their_groups(spark):
     rng = random.Random(8)
     rows = [(k, [f"w{rng.randrange(500)}" for _ in range(rng.choice([0, 1, 4, 30, 300]))]) for k in range(12)] + [(99, None)]
-    frame = lines.with_blocks(spark.createDataFrame(rows, "k int, words array<string>"), "words", "w")
-    got = {r["k"]: [r[f"w{g}"] for g in range(lines.GROUPS)] for r in frame.collect()}
-    assert got[99] == [None] * lines.GROUPS
+    frame = lines.with_blocks(spark.createDataFrame(rows, "k int, words array<string>"), ["k"], "words")
+    got = {r["k"]: [r[f"b{g}"] for g in range(lines.GROUPS)] for r in frame.collect()}
+    assert got[99] == [0] * lines.GROUPS
     for k, words in rows[:-1]:
         hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
         for g in range(lines.GROUPS):
