@@ -25,7 +25,7 @@ def read_examples(spark, sf):
 
 @query("write_examples", f"SELECT {_COLS} FROM corpus", ["corpus"])
 def write_examples(spark, sf):
-    path = W.write_examples(view(spark, sf, "corpus").repartition(4), new_path(spark, "examples"))
+    path = W.write_examples(R.spread_even(view(spark, sf, "corpus")), new_path(spark, "examples"))
     return R.read_examples(spark, path)
 
 
@@ -37,7 +37,7 @@ def read_examples_csv(spark, sf):
 
 @query("write_csv", f"SELECT {_COLS}, confidence FROM tagged", ["tagged"])
 def write_csv(spark, sf):
-    return R.read_examples_csv(spark, W.write_csv(view(spark, sf, "tagged").repartition(4), new_path(spark, "tagged")))
+    return R.read_examples_csv(spark, W.write_csv(R.spread_even(view(spark, sf, "tagged")), new_path(spark, "tagged")))
 
 
 @query("read_many", f"SELECT {_COLS} FROM corpus UNION ALL SELECT {_COLS} FROM tagged", ["corpus", "tagged"])

@@ -29,6 +29,14 @@ def spread_small(df: DataFrame, path: str, max_bytes: int = 1 << 30) -> DataFram
     return df.repartition(cores) if small else df
 
 
+def spread_even(df: DataFrame) -> DataFrame:
+    """Deal rows out in parts of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+    The number of parts follows the measured size, so neither a task nor a file grows with the table.
+    """
+    return df.hint("rebalance")
+
+
 def read_many(spark: SparkSession, *paths: str, schema: T.StructType | None = UNIFIED) -> DataFrame:
     """Read and union every table under the given paths or globs.
 

@@ -32,3 +32,22 @@ def test_cycles_share_the_counted_rows(spark):
         alone, _ = A.al_cycle(*parts, strategy, 2, 5)
         common, _ = A.al_cycle(*parts, strategy, 2, 5, prepared=shared)
         assert alone.collect() == common.collect() and [r["n_labeled"] for r in common.collect()] == [10, 15, 20]
+
+
+def test_files_and_tasks_follow_the_size_of_the_table(spark, tmp_path):
+    from catalog.storage import write_csv, write_examples
+
+    names = {"documents": "doc_id long, text string, source string, lang string, n_chars long", "labels": "doc_id long, quality int, toxic int"}
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.md5(F.concat(F.col("id").cast("string"), i.cast("string")))))
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(9).cast("long").alias("n_chars"))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], names["labels"]).write.parquet(f"{tmp_path}/labels.parquet")
+    events = spark.createDataFrame([(1, "{}", "view")], "event_id long, props string, event_type string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        for run, rows in ((write_csv, 20_000), (write_examples, 20_001)):
+            out = run(spark, str(tmp_path))
+            assert len(out.inputFiles()) > 4 and out.count() == rows
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
