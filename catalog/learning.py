@@ -56,15 +56,14 @@ def tfidf_weights(spark, sf):
 )
 def to_vectors(spark, sf):
     """Size, filled entries and length of each row's sparse vector."""
-    from pyspark.ml.functions import vector_to_array
-
     counted = materialize(X.document_terms(_docs(spark, sf)), "terms")
     vocab = X.tfidf_vocabulary(counted)
     vectors = X.to_vectors(X.tfidf_weights(counted, vocab, counted.count()), X.MAX_FEATURES)
-    dense = vectors.select("id", vector_to_array("features").alias("v"))
-    filled = F.filter("v", lambda x: x != 0)
+    # the stored entries alone: a dense copy holds ten thousand numbers a row
+    sparse = vectors.select("id", F.unwrap_udt("features").alias("v"))
+    filled = F.filter("v.values", lambda x: x != 0)
     norm = F.sqrt(F.aggregate(filled, F.lit(0.0), lambda a, x: a + x * x))
-    return dense.select("id", F.size("v").alias("size"), F.size(filled).alias("entries"), F.round(norm, 6).alias("norm"))
+    return sparse.select("id", F.col("v.size").alias("size"), F.size(filled).alias("entries"), F.round(norm, 6).alias("norm"))
 
 
 _SCALED = """u AS (SELECT vec_id AS id, unnest(range(len(embedding))) AS dim, unnest(embedding) AS x FROM embeddings),

@@ -51,3 +51,12 @@ def test_files_and_tasks_follow_the_size_of_the_table(spark, tmp_path):
             assert len(out.inputFiles()) > 4 and out.count() == rows
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_vectors_are_measured_on_their_entries(spark, sf):
+    from catalog import QUERIES
+
+    out = QUERIES["to_vectors"](spark, sf)
+    assert "vector_to_array" not in out._jdf.queryExecution().analyzed().toString().lower()
+    assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["norm"] for r in out.select("norm").distinct().collect()} == {1.0}
