@@ -60,3 +60,16 @@ def test_vectors_are_measured_on_their_entries(spark, sf):
     assert "vector_to_array" not in out._jdf.queryExecution().analyzed().toString().lower()
     assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r["norm"] for r in out.select("norm").distinct().collect()} == {1.0}
+
+
+def test_only_what_a_labeler_reads_passes_through_python(spark):
+    from siltworks.operators.annotate import auto_label
+
+    rows = [(7, "x" * 3, "unlabeled", "text", "S"), (7, None, "unlabeled", "image", "S"), (None, "yy", "b", "text", "S")]
+    df = spark.createDataFrame(rows, "id long, text string, label string, modality string, source string")
+    out = auto_label(df, ["a", "b"], {"text": lambda ts: [("b", len(t) / 10) for t in ts], "image": lambda ts: [("a", 1.0)] * len(ts)})
+    assert sorted(map(repr, [(r["id"], r["text"], r["label"], r["confidence"], r["source"]) for r in out.collect()])) == sorted(
+        map(repr, [(7, "xxx", "b", 0.3, "S"), (7, None, "a", 1.0, "S"), (None, "yy", "b", None, "S")])
+    )
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and "ArrowEvalPython" in plan
