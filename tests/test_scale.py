@@ -73,3 +73,10 @@ def test_only_what_a_labeler_reads_passes_through_python(spark):
     )
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInPandas" not in plan and "ArrowEvalPython" in plan
+
+
+def test_vectors_of_repeated_ids_are_refused(spark):
+    weights = spark.createDataFrame([(1, 0, 0.6), (1, 0, 0.8)], "id long, idx int, weight double")
+    with pytest.raises(Exception, match="ids must be unique"):
+        X.to_vectors(weights, 3)
+    assert X.to_vectors(weights.limit(1), 3).count() == 1
