@@ -1,9 +1,10 @@
 """Encoding whole texts with a public tokenizer inside tasks.
 
-White space separates the pieces that both public vocabularies merge within, so a text
-can be encoded chunk by chunk and a chunk's ids remembered by the Python worker.  Chunks
-outside a plain Latin alphabet, and texts with other white space or with the strings of
-special tokens, go to the library as they are; the ids are the library's in every case.
+Both public vocabularies merge within pieces cut by a pattern, so a text in a plain Latin
+alphabet is cut at once and a piece's ids are remembered by the Python worker.  Other texts
+are encoded by the chunks between white space, those outside the alphabet by the library;
+texts with other white space or with the strings of special tokens go to the library as they
+are.  The ids are the library's in every case.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
-#: chunks remembered per worker and generation; two generations are held
-REMEMBERED = 400_000
+#: pieces (and chunks of texts that are not plain) remembered per worker and generation; two generations are held
+REMEMBERED = 250_000
 
 _ODD = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLAIN = re.compile("[\x21-\x7e\xa1-ɏ \n]*")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: letters of ``_PLAIN`` and, as some leave it, of its lower case
+_LETTERS = "".join(sorted({c for p in map(chr, range(0x21, 0x250)) for c in p + p.lower() if c.isalpha()}))
+_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 
 
 class Remembered(dict):
@@ -78,6 +82,12 @@ class TextEncoder:
             if self.drops_space
             else r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         )
+        # the same for plain texts: they have no other letters and numbers, and no branches but those of ' overlap
+        gap = "" if self.drops_space else " ?"
+        spaces = "" if self.drops_space else r"|\s+(?!\S)|\s+"
+        other = rf"[^\s{_LETTERS}{_NUMBERS}]+"
+        number = f"[{_NUMBERS}]" + ("" if self.drops_space else "+")
+        self.plain = re.compile(f"{gap}[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|{gap}{number}|{gap}{other}{spaces}")
         self.special = [t["content"] for t in rules["added_tokens"]]
         self.merge_piece = merge_piece
         self.pieces = Remembered(self._piece, remembered)
@@ -87,7 +97,10 @@ class TextEncoder:
     def _piece(self, piece: str) -> bytes:
         if self.merge_piece:
             return packed(self.merge_piece(piece))
-        letters = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isalpha():
+            letters = piece  # printable bytes stand for themselves
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
         return packed([token.id for token in self.library.model.tokenize(letters)])
 
     def _split(self, text: str) -> list[str]:
@@ -115,7 +128,11 @@ class TextEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text) or "<|" in text:
+        if "<|" in text:
+            return self._whole(text)
+        if _PLAIN.fullmatch(text):
+            return b"".join(map(self.pieces.__getitem__, self.plain.findall(text.lower() if self.drops_space else text)))
+        if _ODD.search(text):
             return self._whole(text)
         if self.drops_space:
             return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))

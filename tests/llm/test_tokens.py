@@ -33,6 +33,17 @@ def test_chunked_ids_are_the_librarys(path):
         assert encoder.encode(text) == packed(encoder.library.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_plain_texts_are_cut_at_once(path):
+    """Every distinct word took a place as chunk and as piece, which was most of the time and of a worker's memory."""
+    encoder, rng = TextEncoder(path), random.Random(5)
+    alphabet = [chr(c) for c in range(0x21, 0x250) if not 0x7E < c < 0xA1] + list(" \n" * 60) + list("'strvemld012" * 4)
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 60))) for _ in range(3000)] + ["İİ Ⱥb ŐƜ", "it's 'tis '' 12 x²", "  a \n b  "]
+    for text in texts:
+        assert encoder.encode(text) == packed(encoder.library.encode(text, add_special_tokens=False).ids), repr(text)
+    assert not encoder.chunks and not encoder.spaced
+
+
 def test_forgotten_chunks_are_encoded_again():
     encoder = TextEncoder(BYTES)
     for memory in (encoder.pieces, encoder.chunks, encoder.spaced):
