@@ -29,7 +29,8 @@ def bigrams(words: Column) -> Column:
         F.zip_with(
             F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
             F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-            lambda left, right: F.concat_ws(" ", left, right),
+            # no word is null; in a lambda this costs half of what concat_ws does
+            lambda left, right: F.concat(left, F.lit(" "), right),
         )
     )
 
@@ -45,7 +46,8 @@ def term_counts(terms: Column) -> Column:
         size = F.size(ordered)
         starts = F.filter(
             F.sequence(F.lit(0), size - 1),
-            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+            # nothing is null but what lies before the first term
+            lambda i: ~F.get(ordered, i).eqNullSafe(F.get(ordered, i - 1)),
         )
         return F.transform(
             F.transform(F.array(starts), lambda s: F.struct(s.alias("at"), F.concat(F.slice(s, 2, size), F.array(size)).alias("end"))),

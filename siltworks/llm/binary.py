@@ -34,18 +34,36 @@ LAYOUTS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
 ESCAPE = 14
 BLOCK = 256
 SHARD_IDS = 2_000_000
+#: ids packed together, whole blocks
+SLICE = 1024 * BLOCK
 _MAGIC = b"S8BT"
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, first word of every block and the total, exceptions)."""
+    """(words, first word of every block and the total, exceptions).
+
+    Blocks are independent; as many are packed together as the processor's cache holds.
+    """
+    words, first, exceptions = [np.zeros(0, np.uint64)], [np.zeros(1, np.uint64)], [np.zeros(0, np.uint64)]
+    n_words = n_exceptions = 0
+    for at in range(0, len(ids), SLICE):
+        w, f, e = _pack_blocks(ids[at : at + SLICE], n_exceptions)
+        words.append(w)
+        first.append(f[1:] + np.uint64(n_words))
+        exceptions.append(e)
+        n_words, n_exceptions = n_words + len(w), n_exceptions + len(e)
+    return np.concatenate(words), np.concatenate(first), np.concatenate(exceptions)
+
+
+def _pack_blocks(ids: np.ndarray, n_exceptions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``pack`` after so many exceptions; words are counted from 0."""
     ids = np.asarray(ids, np.uint64)
     n_blocks = -(-len(ids) // BLOCK)
     grid = np.zeros(n_blocks * BLOCK, np.uint64)
     grid[: len(ids)] = ids
     over = grid >= np.uint64(1 << 60)
     exceptions = grid[over]
-    grid[over] = np.arange(len(exceptions), dtype=np.uint64)
+    grid[over] = np.arange(n_exceptions, n_exceptions + len(exceptions), dtype=np.uint64)
     grid = grid.reshape(n_blocks, BLOCK)
     over = over.reshape(n_blocks, BLOCK)
     width = np.zeros(grid.shape, np.int8)
