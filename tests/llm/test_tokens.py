@@ -84,6 +84,18 @@ def test_word_coding_round_trip(n, high):
     assert len(first) == -(-n // binary.BLOCK) + 1 and first[-1] == len(words)
 
 
+def test_blocks_packed_in_slices_are_the_same(monkeypatch):
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 1 << 20, 5000).astype(np.uint64)
+    ids[rng.integers(0, 5000, 40)] = np.uint64((1 << 60) + 5)
+    whole = binary.pack(ids)
+    monkeypatch.setattr(binary, "SLICE", 2 * binary.BLOCK)
+    for a, b in zip(whole, binary.pack(ids)):
+        assert (a == b).all() and a.dtype == b.dtype
+    assert (binary.unpack(*binary.pack(ids), 5000) == ids).all()
+    assert [len(x) for x in binary.pack(ids[:0])] == [0, 1, 0]
+
+
 def test_small_ids_share_words():
     words, _, _ = binary.pack(np.zeros(2560, np.uint64))
     assert len(words) <= 2560 // 60 + 10

@@ -82,6 +82,12 @@ def test_bigrams(spark):
     assert [r["b"] for r in got] == [["a b", "b c"], [], []]
 
 
+def test_bigrams_are_joined_by_plain_concatenation(spark):
+    """``concat_ws`` walks its arguments by iterators, once per pair of words."""
+    plan = spark.createDataFrame([(["a", "b"],)], "w array<string>").select(text.bigrams(F.col("w")))._jdf.queryExecution().analyzed().toString()
+    assert "concat_ws" not in plan
+
+
 @pytest.mark.parametrize("limit", [1, 1000])
 def test_join_small_gives_the_same_rows_either_way(spark, limit):
     big, small = spark.range(50), spark.range(0, 50, 7)
