@@ -419,3 +419,15 @@ def test_constant_keys_of_wide_rows_get_a_deviation_of_one(spark):
     df = spark.createDataFrame([(i, '{"a": 0.1}') for i in range(7)], "id long, text string")
     assert X.tabular_rows(df)[1].first()["std"] == 1.0
     assert X.tabular_rows(df.limit(0))[0].count() == 0
+
+
+def test_forest_passes_send_no_trees(spark):
+    """Rows remember their nodes (before, every pass sent all open trees to its tasks); the trees are the same."""
+    rows = np.random.default_rng(3).normal(size=(120, 6)).tolist()
+    df = spark.createDataFrame([(r, float(i % 3)) for i, r in enumerate(rows)], "v array<double>, y double")
+    df = df.select(X.array_to_vector("v").alias("features"), "y").coalesce(1).persist()
+    forest = M.estimator("rf", 120)
+    assert forest.getCacheNodeIds()
+    trees = forest.fit(df).toDebugString
+    assert trees == forest.setCacheNodeIds(False).fit(df).toDebugString
+    df.unpersist()
