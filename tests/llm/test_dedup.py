@@ -312,6 +312,40 @@ def test_long_lines_are_compared_by_small_limits_first(spark):
     assert took["bounded"] < took["plain"] / 2
 
 
+def test_words_bound_the_edit_distance(spark):
+    """Never below the distance; exact enough for replaced words and one more or one less; null for other numbers of words."""
+    rng = random.Random(3)
+    pick = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6)))
+    rows = []
+    for k in range(120):
+        a = [pick() for _ in range(rng.randint(1, 30))]
+        b = [pick() if rng.random() < 0.2 else w for w in a]
+        if k % 3:
+            b.insert(rng.randint(0, len(b)), pick())
+        rows.append((" ".join(a), " ".join(b)) if k % 2 else (" ".join(b), " ".join(a)))
+    rows += [("", ""), ("", "a"), ("a  b ", "a b"), ("a b c", "a"), (None, "a")]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", lines._by_words(F.col("a"), F.col("b")).alias("n")).collect()
+    for r in got[:120]:
+        assert r["n"] >= distance(r["a"], r["b"])
+    assert [r["n"] for r in got[120:]] == [0, 1, None, None, None]
+    long = [pick() + "x" for _ in range(60)]
+    changed = [*long[:9], "new", *long[10:30], "more", *long[30:50], "other", *long[51:]]
+    near = spark.createDataFrame([(" ".join(long), " ".join(changed))], "a string, b string").select(lines._by_words(F.col("a"), F.col("b"))).first()[0]
+    assert distance(" ".join(long), " ".join(changed)) <= near <= 20
+
+
+def test_keys_of_blocks_are_compiled(spark):
+    """The keys are taken apart in compiled code, and no line is filed under a null."""
+    blocks = ", ".join(f"{k}{g} long" for k in "wp" for g in range(lines.GROUPS))
+    many = [3 << 56] * lines.GROUPS
+    df = spark.createDataFrame([(0, 30, *many, *[0] * 5), (1, 30, *[1 << 56] * 5, *[0] * 5)], f"pos long, size int, {blocks}")
+    rows = lines.block_rows(df)
+    assert "array_compact" not in rows._jdf.queryExecution().toString() and "filter(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = rows.collect()
+    assert all(r["key"] is not None for r in got)
+    assert {r["pos"] for r in got} == {0} and len({r["key"] for r in got}) == len(got) >= 10
+
+
 def test_pivots_connect_what_all_pairs_connect(spark):
     """A bucket with more lines than pivots: a chain of edits, lines far from all, rows already of one component."""
     rng = random.Random(8)
