@@ -431,3 +431,31 @@ def test_forest_passes_send_no_trees(spark):
     trees = forest.fit(df).toDebugString
     assert trees == forest.setCacheNodeIds(False).fit(df).toDebugString
     df.unpersist()
+
+
+def test_forests_are_grown_a_few_trees_at_a_time(spark, monkeypatch, tmp_path):
+    """No group on the driver is larger than its share (before, all trees were held at once); votes are those of all trees."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    from siltworks.operators import forest as G
+
+    assert [G.trees_at_once(n, 10, 100) for n in (0, 5_000, 5_001, 51_282, 10**7)] == [100, 100, 50, 9, 1]
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=5) + (i % 3)], "xyz"[i % 3]) for i in range(90)]
+    df = spark.createDataFrame([*rows, (None, rows[0][1], "x"), rows[1]], "id long, embedding array<double>, label string")
+    sizes = []
+    plain = M.RandomForestClassifier.fit
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", lambda self, *a: sizes.append((self.getNumTrees(), self.getSeed())) or plain(self, *a))
+    monkeypatch.setattr(M, "fit_forest", lambda *a: G.fit_forest(*a, numbers=40 * 92 * 13))
+    features = X.DenseFeatures("embedding")
+    classifier = M.train(features.prepare(df), features, "rf")
+    assert sizes == [(34, 42), (34, 43), (32, 44)] and len(classifier.model.parts) == 3
+    loaded = M.load_model(M.save_model(classifier, str(tmp_path / "forest"), spark), spark)
+    attached = classifier.features.attach(classifier.prepare(df)).select("id", "features").collect()
+    groups = [RandomForestClassificationModel.load(p) for p in classifier.model.parts]
+    assert sum(g.getNumTrees for g in groups) == 100
+    want = sorted((str(r["id"]), [round(sum(g.predictRaw(r["features"])[k] for g in groups) / 100, 4) for k in range(3)]) for r in attached)
+    for one in (classifier, loaded):
+        got = M.predict(one, df).collect()
+        assert sorted((str(r["id"]), [r["prob_x"], r["prob_y"], r["prob_z"]]) for r in got) == want
+        assert np.mean([r["predicted_label"] == r["label"] for r in got]) > 0.9
